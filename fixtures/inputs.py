@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.functions.temporal import iso_text
+from lakeops.plans.complaints import parse_complaints
 from lakeops.plans.survey import for_reports
-from lakeops.plans.values import BOROUGHS, COMPLAINT_SCHEMA
-from lakeops.sources.events import parse_json_events, read_files
-from lakeops.sources.tables import publish_json, read_table
+from lakeops.plans.values import BOROUGHS
+from lakeops.session import shared_dir
+from lakeops.sources.events import read_files
+from lakeops.sources.tables import publish_json, read_table, write_table
 
 RESPONDENT = "(l_orderkey * 8 + l_linenumber) * 1000 + l_partkey % 1000"
 
@@ -138,5 +140,12 @@ def complaint_messages(events: DataFrame) -> DataFrame:
     )
 
 
-def complaints(events: DataFrame) -> DataFrame:
-    return parse_json_events(complaint_messages(events), COMPLAINT_SCHEMA)
+def complaints(events: DataFrame, query: str | None = None) -> DataFrame:
+    return parse_complaints(complaint_messages(events), query)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A small derived table, written once and read back as a dimension would be."""
+    folder = shared_dir(df.sparkSession, name)
+    write_table(df, folder)
+    return read_table(df.sparkSession, folder)

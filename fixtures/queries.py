@@ -12,6 +12,7 @@ from fixtures.inputs import (
     complaints,
     event_stream,
     raw_survey,
+    stored,
     survey,
     table,
 )
@@ -223,7 +224,7 @@ def duration_total(spark, sf):
 @query
 def left_join_two_keys(spark, sf):
     decoded = survey(spark, sf)
-    weights = borough_weights(decoded).select(
+    weights = stored(borough_weights(decoded), "weights").select(
         "PD_DESC_Mapped", "SUSP_RACE_Mapped", "BRONX_cumulative_prob"
     )
     keys = {"OFFENSE_TYPE": "PD_DESC_Mapped", "RACE": "SUSP_RACE_Mapped"}
@@ -354,7 +355,7 @@ def window_status(spark, sf):
 @query
 def uncommon_events(spark, sf):
     dated = table(spark, sf, "events").withColumn("day", F.dayofmonth("ts"))
-    patterns = ranking.top_k_shares(dated, "event_type", "day", 4)
+    patterns = stored(ranking.top_k_shares(dated, "event_type", "day", 4), "days")
     stream = event_stream(spark, sf).select("event_id", "event_type", F.dayofmonth("ts").alias("day"))
     keys = {"event_type": "event_type", "day": "day"}
     rare = joins.join_dimension(stream, patterns, keys, "left_anti")
@@ -365,7 +366,7 @@ def uncommon_events(spark, sf):
 def uncommon_events_large(spark, sf):
     """The same with patterns above the broadcast bound."""
     dated = table(spark, sf, "events").withColumn("day", F.dayofmonth("ts"))
-    patterns = ranking.top_k_shares(dated, "event_type", "day", 4)
+    patterns = stored(ranking.top_k_shares(dated, "event_type", "day", 4), "days")
     keys = {"event_type": "event_type", "day": "day"}
     rare = joins.join_dimension(dated, patterns, keys, "left_anti", max_rows=0)
     return rare.select("event_id", "event_type")
@@ -399,7 +400,9 @@ for _name in REPORTS:
 
 def mapped_boroughs(spark: SparkSession, sf: str) -> DataFrame:
     decoded = survey(spark, sf)
-    return survey_plans.add_borough(decoded, borough_weights(decoded), 11, ["RESPONDENT"])
+    return survey_plans.add_borough(
+        decoded, stored(borough_weights(decoded), "weights"), 11, ["RESPONDENT"]
+    )
 
 
 @query
@@ -422,38 +425,40 @@ def print_patterns(spark, sf):
 
 @query
 def complaints_per_hour_and_borough(spark, sf):
-    result = feed.complaints_per_hour_and_borough(complaints(event_stream(spark, sf)))
+    result = feed.complaints_per_hour_and_borough(
+        complaints(event_stream(spark, sf), "complaints_per_hour_and_borough")
+    )
     return run_to_end(spark, result, "update", ["window_str", "boro_nm"]).drop("timestamp")
 
 
 @query
 def most_common_complaints(spark, sf):
-    result = feed.in_order(
-        feed.most_common_complaints(complaints(event_stream(spark, sf))), "complaints_count"
-    )
+    events = complaints(event_stream(spark, sf), "most_common_complaints")
+    result = feed.in_order(feed.most_common_complaints(events), "complaints_count")
     return run_to_end(spark, result, "complete").drop("timestamp")
 
 
 @query
 def unsafest_boroughs(spark, sf):
-    result = feed.unsafest_boroughs(complaints(event_stream(spark, sf)))
+    result = feed.unsafest_boroughs(
+        complaints(event_stream(spark, sf), "unsafest_boroughs")
+    )
     return run_to_end(spark, result, "update", ["window_start", "Borough"]).drop("timestamp")
 
 
 @query
 def location_safety(spark, sf):
-    result = feed.location_safety(complaints(event_stream(spark, sf)))
+    result = feed.location_safety(
+        complaints(event_stream(spark, sf), "location_safety")
+    )
     return run_to_end(spark, result, "update", ["window_str"]).drop("timestamp")
 
 
 @query
 def uncommon_crimes(spark, sf):
-    folder = shared_dir(spark, "patterns")
-    patterns = survey_plans.common_patterns(mapped_boroughs(spark, sf))
-    tables.write_table(patterns, folder)
-    result = feed.uncommon_crimes(
-        complaints(event_stream(spark, sf)), tables.read_table(spark, folder)
-    )
+    patterns = stored(survey_plans.common_patterns(mapped_boroughs(spark, sf)), "patterns")
+    events = complaints(event_stream(spark, sf), "uncommon_crimes")
+    result = feed.uncommon_crimes(events, patterns)
     return run_to_end(spark, result, "append")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lakeops.functions.numbers import ratio
 from lakeops.operators.joins import join_groups
 from lakeops.operators.shares import count_by
+from lakeops.session import settle
 
 
 def top_k_per_group(
@@ -89,7 +90,9 @@ def change_over_time(
     row per whole number in ``between``, which bounds its window.
     """
     count_name, share_name, change_name = names
-    counts = count_by(df.where(F.col(period).between(*between)), [entity, period], count_name)
+    counts = settle(
+        count_by(df.where(F.col(period).between(*between)), [entity, period], count_name)
+    )
     totals = counts.groupBy(period).agg(F.sum(count_name).alias("__total"))
     shares = (
         counts.where(F.col(entity).isNotNull())

@@ -87,26 +87,21 @@ def share_index(
     null. A null category appears once, without group and index. ``total_name`` holds the size
     of the category, for ordering.
     """
-    counts = count_by(df, [category, group])
-    categories = counts.groupBy(category).agg(F.sum("cnt").alias(total_name))
-    everyone = counts.agg(F.sum("cnt")).scalar()
-    overall = counts.groupBy(group).agg(ratio(F.sum("cnt"), everyone).alias("__overall"))
-    inside = counts.withColumnRenamed("cnt", "__cnt")
-    return (
-        categories.join(inside, on=category, how="left")
-        .join(overall, on=group, how="left")
-        .select(
-            category,
-            group,
-            F.round(
-                F.try_divide(
-                    ratio(F.col("__cnt"), F.col(total_name), digits=None), F.col("__overall")
-                ),
-                2,
-            ).alias(index_name),
-            total_name,
-        )
-    )
+    counts = count_by(df, [category, group], "__cnt")
+    everyone = counts.agg(F.sum("__cnt")).scalar()
+    overall = counts.groupBy(group).agg(ratio(F.sum("__cnt"), everyone).alias("__overall"))
+    sizes = counts.groupBy(category).agg(F.sum("__cnt").alias(total_name))
+    # Null-safe joins keep all three branches on one scan; what a null may not match is blanked.
+    joined = join_groups(join_groups(counts, sizes, [category]), overall, [group])
+    inside = ratio(F.col("__cnt"), F.col(total_name), digits=None)
+    index = F.when(F.col(group).isNotNull(), F.round(F.try_divide(inside, F.col("__overall")), 2))
+    known = F.col(category).isNotNull()
+    return joined.select(
+        category,
+        F.when(known, F.col(group)).alias(group),
+        F.when(known, index).alias(index_name),
+        total_name,
+    ).distinct()
 
 
 def most_frequent(

@@ -11,9 +11,27 @@ from lakeops.functions.numbers import within_radius
 from lakeops.functions.temporal import event_time, window_text
 from lakeops.operators.joins import join_dimension
 from lakeops.plans import values
+from lakeops.sources.events import parse_json_events
 from lakeops.streaming.windows import flatten_window, tumbling_counts, window_status
 
 
+# Fields of the message that each query reads; the archive takes all of them.
+FIELDS = {
+    "complaints_per_hour_and_borough": ("CMPLNT_FR_DT", "CMPLNT_FR_TM", "BORO_NM"),
+    "most_common_complaints": ("CMPLNT_FR_DT", "CMPLNT_FR_TM", "OFNS_DESC"),
+    "unsafest_boroughs": ("CMPLNT_FR_DT", "CMPLNT_FR_TM", "LAW_CAT_CD", "BORO_NM"),
+    "location_safety": (
+        "CMPLNT_FR_DT", "CMPLNT_FR_TM", "LAW_CAT_CD", "BORO_NM", "Latitude", "Longitude",
+    ),
+    "uncommon_crimes": ("CMPLNT_NUM", "CMPLNT_FR_TM", "SUSP_RACE", "PD_DESC", "BORO_NM"),
+}
+
+
+def parse_complaints(messages: DataFrame, query: str | None = None) -> DataFrame:
+    """Complaints from JSON messages, with only the fields one query reads where it is named."""
+    return parse_json_events(messages, values.COMPLAINT_SCHEMA, columns=FIELDS.get(query))
+
+
 def with_event_time(events: DataFrame, dated: bool = True) -> DataFrame:
     """Add ``event_time`` from the complaint's date and time.
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lakeops.functions.numbers import duration_days, ratio
-from lakeops.operators.joins import join_groups
 from lakeops.operators.ranking import change_over_time, change_text, top_k_shares
 from lakeops.operators.shares import (
     conditional_share,
-    most_frequent,
     share_index,
     share_of_total,
     value_stats,
@@ -74,23 +72,36 @@ def races_through_years(survey: DataFrame) -> DataFrame:
 
 
 def victim_stats(survey: DataFrame) -> DataFrame:
-    """Victims of violent crimes: share by sex, share known to the offender, usual age group."""
+    """Victims of violent crimes: share by sex, share known to the offender, usual age group.
+
+    Types, sexes and age groups come from code books, so the counts are a handful of rows and one
+    scan serves all columns. Equally frequent age groups give a row each; victims of unspecified
+    sex have no usual age group.
+    """
     violent = survey.where((F.col("OFFENSE_TYPE") == "VIOLENT_OFFENSE") & F.col("VIOLENT_TYPE").isNotNull())
+    sums = {"cnt": F.count("*"), "knew": F.sum("KNEW_VICTIM"), "answers": F.count("KNEW_VICTIM")}
     ages = violent.groupBy("VIOLENT_TYPE", "VICTIM_SEX", "VICTIM_AGE_GROUP").agg(
-        F.count("*").alias("cnt"),
-        F.sum("KNEW_VICTIM").alias("knew"),
-        F.count("KNEW_VICTIM").alias("answers"),
+        *[value.alias(name) for name, value in sums.items()]
     )
-    totals = ages.groupBy("VIOLENT_TYPE").agg(
-        F.sum("cnt").alias("total"),
-        F.round(100 * ratio(F.sum("knew"), F.sum("answers"), digits=None), 2).alias("knew_vict_perc"),
+    sexes = ages.groupBy("VIOLENT_TYPE", "VICTIM_SEX").agg(
+        F.collect_list(F.struct("cnt", F.col("VICTIM_AGE_GROUP").alias("age"))).alias("ages"),
+        F.max("cnt").alias("top"),
+        *[F.sum(name).alias(name) for name in sums],
     )
-    usual_age = most_frequent(ages, ["VIOLENT_TYPE", "VICTIM_SEX"], "VICTIM_AGE_GROUP")
-    by_sex = ages.groupBy("VIOLENT_TYPE", "VICTIM_SEX").agg(F.sum("cnt").alias("cnt"))
+    of_type = Window.partitionBy("VIOLENT_TYPE")
+    total = F.sum("cnt").over(of_type)
+    knew = ratio(F.sum("knew").over(of_type), F.sum("answers").over(of_type), digits=None)
+    usual = F.filter("ages", lambda entry: entry["cnt"] == F.col("top"))
+    usual = F.when(F.col("VICTIM_SEX").isNotNull(), F.transform(usual, lambda entry: entry["age"]))
     return (
-        join_groups(by_sex, totals, ["VIOLENT_TYPE"], nulls_match=False)
-        .join(usual_age, on=["VIOLENT_TYPE", "VICTIM_SEX"], how="left")
-        .withColumn("gender_share", ratio(F.col("cnt"), F.col("total"), 100.0))
+        sexes.withColumns(
+            {
+                "total": total,
+                "gender_share": ratio(F.col("cnt"), total, 100.0),
+                "knew_vict_perc": F.round(100 * knew, 2),
+            }
+        )
+        .withColumn("VICTIM_AGE_GROUP", F.explode_outer(usual))
         .orderBy(F.desc("total"), F.desc("gender_share"))
         .select(
             "VIOLENT_TYPE",

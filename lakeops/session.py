@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
@@ -40,3 +40,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="lakeops-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute an aggregate once and keep it in the shared folder.
+
+    For aggregates that several branches of a query read, where filters pushed into one branch
+    would make Spark scan the source again. The kept copy outlives lost executors.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession, "settled"))
+    return df.checkpoint()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StringType, StructType
@@ -53,26 +53,27 @@ def _plain_text(value: Column, data_type: DataType) -> Column:
 
 
 def parse_json_events(
-    df: DataFrame, schema: StructType, value: str = "value", corrupt: str | None = None
+    df: DataFrame,
+    schema: StructType,
+    value: str = "value",
+    corrupt: str | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Flat columns of the JSON text (or bytes) in column ``value``.
 
     Text that is not JSON gives a row of nulls, which is kept; ``corrupt`` names a column that
     then holds the text. Fields outside ``schema`` are ignored and missing-value tokens are null.
+    ``columns`` limits parsing to the fields a query needs.
+
+    The text is parsed by a generator, because filters on parsed fields would otherwise be moved
+    below the projection with a copy of the parser for every field they mention.
     """
-    text = F.col(value).cast("string")
-    if corrupt is None:
-        parsed = F.from_json(text, schema)
-    else:
-        parsed = F.from_json(
-            text,
-            StructType(schema.fields).add(corrupt, StringType()),
-            {"columnNameOfCorruptRecord": corrupt},
-        )
-    rows = df.select(parsed.alias("__event"))
-    fields = [
-        _plain_text(F.col("__event")[f.name], f.dataType).alias(f.name) for f in schema.fields
-    ]
+    wanted = [f for f in schema.fields if columns is None or f.name in columns]
+    target, options = StructType(wanted), {}
     if corrupt is not None:
-        fields.append(F.col("__event")[corrupt].alias(corrupt))
-    return rows.select(*fields)
+        target = StructType(wanted).add(corrupt, StringType())
+        options = {"columnNameOfCorruptRecord": corrupt}
+    parsed = F.from_json(F.col(value).cast("string"), target, options)
+    rows = df.select(F.inline_outer(F.array(parsed)))
+    fields = [_plain_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in wanted]
+    return rows.select(*fields, *([corrupt] if corrupt is not None else []))
