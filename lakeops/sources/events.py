@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DataType, StringType, StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 
 def read_kafka(
@@ -71,7 +71,7 @@ def parse_json_events(
     wanted = [f for f in schema.fields if columns is None or f.name in columns]
     target, options = StructType(wanted), {}
     if corrupt is not None:
-        target = StructType(wanted).add(corrupt, StringType())
+        target = StructType([*wanted, StructField(corrupt, StringType())])
         options = {"columnNameOfCorruptRecord": corrupt}
     parsed = F.from_json(F.col(value).cast("string"), target, options)
     rows = df.select(F.inline_outer(F.array(parsed)))

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lakeops.sources.tables import write_jdbc
 
@@ -77,7 +77,7 @@ def read_upserted(
     spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]
 ) -> DataFrame:
     """Newest row of each key of an ``update`` stream written by :func:`folder_sink`."""
-    with_batch = StructType(schema.fields).add("batch_id", "long")
+    with_batch = StructType([*schema.fields, StructField("batch_id", LongType())])
     rows = spark.read.schema(with_batch).parquet(path)
     newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*schema.names), "batch_id").alias("__row"))
     return newest.select("__row.*")
@@ -85,7 +85,7 @@ def read_upserted(
 
 def read_latest(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Result of the last micro-batch of a ``complete`` stream written by :func:`folder_sink`."""
-    with_batch = StructType(schema.fields).add("batch_id", "long")
+    with_batch = StructType([*schema.fields, StructField("batch_id", LongType())])
     rows = spark.read.schema(with_batch).parquet(path)
     last = rows.agg(F.max("batch_id")).scalar()
     return rows.where(F.col("batch_id") == last).select(*schema.names)
