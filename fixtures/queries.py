@@ -236,7 +236,7 @@ def left_join_two_keys(spark, sf):
 
 @query
 def left_join_large_dimension(spark, sf):
-    """A dimension above the broadcast bound: shuffled, with the facts salted."""
+    """A dimension above the given broadcast bound."""
     items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     return joins.join_dimension(items, orders, {"l_orderkey": "o_orderkey"}, "left", max_rows=100).select(

@@ -50,11 +50,11 @@ def recode_flag(flag: Column, source: int = 2, target: int = 0) -> Column:
 def to_int(df: DataFrame, column: str) -> Column:
     """Integer value of a column; text that holds no number gives null.
 
-    Text such as ``9.0`` counts as 9, as it does when a CSV reader infers the column's type.
+    Text such as ``9.0`` counts as 9, as it does when a CSV reader infers the column's type. Text
+    is matched before it is cast, because a failing cast is slow even where it only gives null.
     """
     value = F.col(f"`{column}`")
-    number = value.try_cast("int")
     if df.schema[column].dataType.typeName() != "string":
-        return number
-    whole = F.when(value.rlike(r"^\s*[+-]?\d+\.\d*\s*$"), F.split_part(value, F.lit("."), F.lit(1)))
-    return F.coalesce(number, whole.try_cast("int"))
+        return value.try_cast("int")
+    whole = F.split_part(value, F.lit("."), F.lit(1))
+    return F.when(value.rlike(r"^\s*[+-]?\d+(?:\.\d*)?\s*$"), whole.try_cast("int"))

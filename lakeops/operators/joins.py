@@ -31,52 +31,62 @@ def join_dimension(
     on: Mapping[str, str],
     how: str = "left",
     ignore_case: Sequence[str] = (),
-    salts: int = 32,
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
+    salts: int = 8,
 ) -> DataFrame:
     """Left, inner or left-anti join of facts to a dimension on ``{fact column: dimension column}``.
 
-    A dimension measured to be small is broadcast. A larger one is joined by shuffle with the
-    facts spread over ``salts`` copies of every key, so that a key (or null) held by a large part
-    of all facts is shared by many tasks. Both ways give the same rows.
+    A dimension measured to be small is broadcast. A larger one is joined by shuffle. There a key
+    (or null) held by a large part of the facts would fill one task: in a batch, adaptive execution
+    splits such a partition; a stream has no adaptive execution, so its rows are spread over
+    ``salts`` copies of the dimension. All ways give the same rows.
 
-    Columns in ``ignore_case`` compare without regard to letter case. Fact columns may come from
-    a stream; the dimension is a batch frame.
+    Columns in ``ignore_case`` compare without regard to letter case. Facts may come from a
+    stream; the dimension is a batch frame, best a stored one as it is measured first.
     """
     if how not in ("left", "inner", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     right = dimension
     if how == "left_anti":
-        # Only existence matters, so equal keys are sent once.
+        # Only the existence of a key matters.
         keys = [
             (F.lower(F.col(f"`{c}`")) if left in ignore_case else F.col(f"`{c}`")).alias(c)
             for left, c in on.items()
         ]
-        right = dimension.select(*keys).na.drop().distinct()
-    renamed = right.select(*[F.col(f"`{c}`").alias(f"__dim_{i}") for i, c in enumerate(right.columns)])
+        right = dimension.select(*keys).na.drop()
     position = {c: f"__dim_{i}" for i, c in enumerate(right.columns)}
+    right = right.withColumnsRenamed(position)
 
     def same(left: str, other: str) -> Column:
         a, b = F.col(f"`{left}`"), F.col(position[other])
         return F.lower(a) == F.lower(b) if left in ignore_case else a == b
 
     condition = reduce(lambda a, b: a & b, [same(left, other) for left, other in on.items()])
-    if fits_broadcast(renamed, max_rows, max_bytes):
-        joined = facts.join(F.broadcast(renamed), condition, how)
+    once = right.distinct() if how == "left_anti" else right
+    if fits_broadcast(once, max_rows, max_bytes):
+        joined = facts.join(F.broadcast(once), condition, how)
+    elif facts.isStreaming:
+        joined = _salted_join(facts, once, condition, how, salts)
     else:
-        # The partition id spreads exact copies of a row too; both parts survive a task retry.
-        row = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns], F.spark_partition_id())
-        salt = F.pmod(row, F.lit(salts)).cast("int")
-        copies = renamed.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        spread = facts.withColumn("__salt", salt)
-        joined = spread.join(copies, condition & (F.col("__salt") == F.col("__copy")), how)
-        joined = joined.drop("__salt", "__copy")
+        # Repeated keys stay in, as an aggregate below the join would keep hot keys from splitting.
+        joined = facts.join(right, condition, how)
     if how == "left_anti":
         return joined
     return joined.withColumnsRenamed({v: k for k, v in position.items()})
 
 
+def _salted_join(
+    facts: DataFrame, right: DataFrame, condition: Column, how: str, salts: int
+) -> DataFrame:
+    # The partition id spreads exact copies of a row too; both parts survive a task retry.
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns], F.spark_partition_id())
+    spread = facts.withColumn("__salt", F.pmod(row, F.lit(salts)).cast("int"))
+    copies = right.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = condition & (F.col("__salt") == F.col("__copy"))
+    return spread.join(copies.hint("merge"), salted, how).drop("__salt", "__copy")
+
+
 def join_groups(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", nulls_match: bool = True
 ) -> DataFrame:

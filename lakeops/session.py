@@ -11,7 +11,11 @@ DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where that costs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Wide projections make methods the JVM would not compile; above this size Spark splits them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Window state can outgrow the heap when a stream keeps every window.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

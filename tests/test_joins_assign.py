@@ -32,7 +32,7 @@ def dimension(spark):
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
 @pytest.mark.parametrize("max_rows", [1000, 0])
 def test_both_join_ways_agree(spark, facts, dimension, how, max_rows):
-    got = join_dimension(facts, dimension, {"k": "dk", "m": "dm"}, how, ["m"], salts=3, max_rows=max_rows)
+    got = join_dimension(facts, dimension, {"k": "dk", "m": "dm"}, how, ["m"], max_rows=max_rows)
     expected = {
         "left": [
             (1, "a", "X", "a", "x", 10), (1, "a", "X", "a", "x", 10), (2, "a", None, None, None, None),
@@ -48,15 +48,41 @@ def test_both_join_ways_agree(spark, facts, dimension, how, max_rows):
     assert rows(got) == sorted(expected, key=repr)
 
 
-def test_large_dimension_is_shuffled_with_salt(spark, facts, dimension):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = join_dimension(facts, dimension, {"k": "dk"}, "left", max_rows=0)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "__salt" in plan and "Broadcast" not in plan
-        assert joined.count() == 7
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+@pytest.fixture()
+def small_limits(spark):
+    """Adaptive execution with limits small enough to show on test data."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "30KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+@pytest.mark.parametrize("hot", ["7", None])
+def test_hot_key_of_a_shuffled_join_is_split(spark, small_limits, how, hot):
+    """A third of the facts share one key (or have none) and the dimension is not broadcast."""
+    ids = spark.range(0, 60_000, 1, 8)
+    key = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise((F.col("id") % 5000).cast("string"))
+    facts = ids.select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    dimension = spark.range(0, 5000, 2).select(F.col("id").cast("string").alias("dk"), F.lit(1).alias("w"))
+    joined = join_dimension(facts, dimension, {"k": "dk"}, how, max_rows=0)
+    keys = joined.select("k", "payload").collect()
+    plan = joined.select("k", "payload")
+    plan.collect()
+    assert "skew=true" in plan._jdf.queryExecution().executedPlan().toString()
+    total = {"left": 60_000, "left_anti": sum(
+        1 for i in range(60_000)
+        if (hot if i % 3 == 0 else str(i % 5000)) is None
+        or int(hot if i % 3 == 0 else i % 5000) % 2
+    )}[how]
+    assert len(keys) == total
 
 
 def test_broadcast_needs_a_measured_size(spark):

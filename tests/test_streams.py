@@ -234,7 +234,7 @@ def test_late_row_is_dropped_with_a_watermark_and_counted_without(spark, tmp_pat
 def test_anti_join_stream_appends_once(spark, tmp_path, monkeypatch, max_rows):
     from lakeops.operators import joins
 
-    monkeypatch.setattr(joins.join_dimension, "__defaults__", ("left", (), 4, max_rows, 1 << 20))
+    monkeypatch.setattr(joins.join_dimension, "__defaults__", ("left", (), max_rows, 1 << 20, 4))
     patterns = spark.createDataFrame([("BRONX", "WHITE", "VIOLENT_OFFENSE", 1)], "BOROUGH string, RACE string, OFFENSE_TYPE string, ranking int")
     source = tmp_path / "in"
     write_lines(source, "1.json", [complaint(1), complaint(2, SUSP_RACE="BLACK")])
