@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, functions as F
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField
+
+
+def _literal(value: str | int) -> str:
+    if isinstance(value, int):
+        return str(value)
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _lookup(code: Column, mapping: Mapping) -> Column:
-    pairs = [F.lit(part) for item in mapping.items() if item[1] is not None for part in item]
-    return F.try_element_at(F.create_map(*pairs), code)
+    pairs = [_literal(part) for item in mapping.items() if item[1] is not None for part in item]
+    # One SQL text instead of two calls into the JVM per entry.
+    return F.try_element_at(F.expr(f"map({', '.join(pairs)})"), code)
 
 
 def decode(code: Column, mapping: Mapping, default: str | None = None) -> Column:
@@ -47,14 +54,19 @@ def recode_flag(flag: Column, source: int = 2, target: int = 0) -> Column:
     return F.when(flag == source, F.lit(target)).otherwise(flag)
 
 
+def int_sql(field: StructField) -> str:
+    """SQL for the integer value of a column; see :func:`to_int`."""
+    name = f"`{field.name}`"
+    if not isinstance(field.dataType, StringType):
+        return f"try_cast({name} AS INT)"
+    number = r"r'^\s*[+-]?\d+(?:\.\d*)?\s*$'"
+    return f"CASE WHEN {name} RLIKE {number} THEN try_cast(split_part({name}, '.', 1) AS INT) END"
+
+
 def to_int(df: DataFrame, column: str) -> Column:
     """Integer value of a column; text that holds no number gives null.
 
     Text such as ``9.0`` counts as 9, as it does when a CSV reader infers the column's type. Text
     is matched before it is cast, because a failing cast is slow even where it only gives null.
     """
-    value = F.col(f"`{column}`")
-    if df.schema[column].dataType.typeName() != "string":
-        return value.try_cast("int")
-    whole = F.split_part(value, F.lit("."), F.lit(1))
-    return F.when(value.rlike(r"^\s*[+-]?\d+(?:\.\d*)?\s*$"), whole.try_cast("int"))
+    return F.expr(int_sql(df.schema[column]))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import FractionalType, NumericType
+from pyspark.sql.types import NumericType
 
-from lakeops.functions.coding import to_int
+from lakeops.functions.coding import int_sql, to_int
 
 # Survey codes that stand for "refused", "unknown" and "suppressed".
 SENTINELS = (9, 99, 999, 9999)
@@ -43,14 +43,13 @@ def blank_negative(df: DataFrame) -> DataFrame:
 
 
 def _unusable_counts(df: DataFrame, sentinels: Sequence[int]) -> list[Column]:
-    def unusable(field):
-        number = to_int(df, field.name)
-        bad = number.isNull() | number.isin(*sentinels)
-        if isinstance(field.dataType, FractionalType):
-            bad = bad | F.isnan(F.col(f"`{field.name}`"))
-        return F.count_if(bad).alias(field.name)
-
-    return [unusable(field) for field in df.schema]
+    # As SQL text, which takes one call into the JVM per column of a wide table. A value that is
+    # no number, NaN included, counts through the first sentinel.
+    codes = ", ".join(str(code) for code in sentinels)
+    return [
+        F.expr(f"count_if(coalesce({int_sql(field)}, {sentinels[0]}) IN ({codes}))").alias(field.name)
+        for field in df.schema
+    ]
 
 
 def missing_profile(df: DataFrame, sentinels: Sequence[int] = SENTINELS) -> DataFrame:
