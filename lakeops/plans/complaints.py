@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,6 +12,7 @@ from lakeops.functions.temporal import event_time, window_text
 from lakeops.operators.joins import join_dimension
 from lakeops.plans import values
 from lakeops.sources.events import parse_json_events
+from lakeops.streaming.runs import BatchSink
 from lakeops.streaming.windows import flatten_window, tumbling_counts, window_status
 
 
@@ -133,6 +134,18 @@ def uncommon_crimes(
     ).drop("RACE")
 
 
+def uncommon_crimes_sink(read_patterns: Callable[[], DataFrame], sink: BatchSink) -> BatchSink:
+    """Sink for parsed complaints that looks up the newest patterns in every micro-batch.
+
+    :func:`uncommon_crimes` on a stream keeps the patterns it was started with.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        sink(uncommon_crimes(batch, read_patterns()), batch_id)
+
+    return run
+
+
 def archive_rows(events: DataFrame) -> DataFrame:
     """The complaint's 35 fields, as archived."""
     return events.select(*values.COMPLAINT_SCHEMA.names)

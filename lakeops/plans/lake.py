@@ -35,9 +35,7 @@ def prepare_patterns(
     key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Draw boroughs by the weight file, mine common patterns, write both, return the patterns."""
-    drawn = survey_plans.add_borough(
-        survey, read_table(spark, weights, "csv", infer=True), seed, key
-    )
+    drawn = survey_plans.add_borough(survey, read_table(spark, weights, "csv"), seed, key)
     write_table(drawn, mapped, mode="overwrite")
     write_table(survey_plans.common_patterns(read_table(spark, mapped)), patterns, mode="overwrite")
     return read_table(spark, patterns)

@@ -97,7 +97,8 @@ def add_borough(
     named ``<borough>_cumulative_prob``. ``key`` names the columns that identify a respondent.
     """
     columns = {borough: f"{borough}_cumulative_prob" for borough in values.BOROUGHS}
-    limits = cumulative_weights(weights, list(columns.values()), compat=compat)
+    numbers = weights.withColumns({c: F.col(f"`{c}`").try_cast("double") for c in columns.values()})
+    limits = cumulative_weights(numbers, list(columns.values()), compat=compat)
     joined = join_dimension(
         survey.select("OFFENSE_TYPE", "RACE", *(key or ())),
         limits.select("PD_DESC_Mapped", "SUSP_RACE_Mapped", *columns.values()),

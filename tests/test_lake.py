@@ -84,12 +84,7 @@ def test_victim_stats_ties_and_unspecified_sex(decoded):
 
 
 def test_races_through_years(decoded):
-    got = reports.races_through_years(decoded)
-    assert [tuple(r) for r in got.collect()] == [
-        (2008, "HISPANIC", 1, 50.0, "N/A"),
-        (2008, "WHITE", 1, 50.0, "N/A"),
-        (2010, "WHITE", 1, 100.0, "50.0"),
-    ] or rows(got) == [
+    assert rows(reports.races_through_years(decoded)) == [
         (2008, "HISPANIC", 1, 50.0, "N/A"),
         (2008, "WHITE", 1, 50.0, "N/A"),
         (2010, "WHITE", 1, 100.0, "50.0"),
