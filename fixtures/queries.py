@@ -9,6 +9,7 @@ from pyspark.sql.types import LongType, StructType
 
 from fixtures.inputs import (
     borough_weights,
+    complaint_messages,
     complaints,
     event_stream,
     raw_survey,
@@ -19,10 +20,10 @@ from fixtures.inputs import (
 from lakeops.functions import coding, temporal
 from lakeops.functions.numbers import duration_days, within_radius
 from lakeops.operators import assign, columns, joins, ranking, shares
-from lakeops.plans import complaints as feed
+from lakeops.plans import complaints as complaint_plans
+from lakeops.plans import feed
 from lakeops.plans import survey as survey_plans
 from lakeops.plans.reports import REPORTS
-from lakeops.plans.values import COMPLAINT_SCHEMA
 from lakeops.session import shared_dir
 from lakeops.sources import tables
 from lakeops.sources.events import parse_json_events
@@ -317,7 +318,7 @@ def parse_json(spark, sf):
 @query
 def event_times(spark, sf):
     parsed = complaints(table(spark, sf, "events"))
-    return feed.with_event_time(parsed).select("CMPLNT_NUM", "event_time", "RPT_DT")
+    return complaint_plans.with_event_time(parsed).select("CMPLNT_NUM", "event_time", "RPT_DT")
 
 
 @query
@@ -341,7 +342,7 @@ def tumbling_counts(spark, sf):
 def tumbling_counts_ordered(spark, sf):
     """The whole sorted result in every micro-batch, the last one kept."""
     counts = windows.tumbling_counts(event_stream(spark, sf), "ts", "1 hour", ["event_type"])
-    ordered = feed.in_order(windows.flatten_window(counts), "cnt")
+    ordered = complaint_plans.in_order(windows.flatten_window(counts), "cnt")
     return run_to_end(spark, ordered, "complete")
 
 
@@ -423,50 +424,44 @@ def print_patterns(spark, sf):
 # Complaint jobs, as streams. The processing time is left out of what is compared.
 
 
+def complaint_job(
+    spark: SparkSession, sf: str, name: str, patterns: DataFrame | None = None, mode: str = "update"
+) -> DataFrame:
+    folder = shared_dir(spark, name)
+    messages = complaint_messages(event_stream(spark, sf))
+    schema = feed.query_result(messages, name, patterns, mode).schema
+    feed.start_query(
+        messages, name, f"{folder}/out", f"{folder}/checkpoint", patterns, mode, available_now=True
+    ).awaitTermination()
+    return feed.read_result(spark, name, f"{folder}/out", schema, mode).drop("timestamp")
+
+
 @query
 def complaints_per_hour_and_borough(spark, sf):
-    result = feed.complaints_per_hour_and_borough(
-        complaints(event_stream(spark, sf), "complaints_per_hour_and_borough")
-    )
-    return run_to_end(spark, result, "update", ["window_str", "boro_nm"]).drop("timestamp")
+    return complaint_job(spark, sf, "complaints_per_hour_and_borough")
 
 
 @query
 def most_common_complaints(spark, sf):
-    events = complaints(event_stream(spark, sf), "most_common_complaints")
-    result = feed.in_order(feed.most_common_complaints(events), "complaints_count")
-    return run_to_end(spark, result, "complete").drop("timestamp")
+    return complaint_job(spark, sf, "most_common_complaints", mode="complete")
 
 
 @query
 def unsafest_boroughs(spark, sf):
-    result = feed.unsafest_boroughs(
-        complaints(event_stream(spark, sf), "unsafest_boroughs")
-    )
-    return run_to_end(spark, result, "update", ["window_start", "Borough"]).drop("timestamp")
+    return complaint_job(spark, sf, "unsafest_boroughs")
 
 
 @query
 def location_safety(spark, sf):
-    result = feed.location_safety(
-        complaints(event_stream(spark, sf), "location_safety")
-    )
-    return run_to_end(spark, result, "update", ["window_str"]).drop("timestamp")
+    return complaint_job(spark, sf, "location_safety")
 
 
 @query
 def uncommon_crimes(spark, sf):
     patterns = stored(survey_plans.common_patterns(mapped_boroughs(spark, sf)), "patterns")
-    events = complaints(event_stream(spark, sf), "uncommon_crimes")
-    result = feed.uncommon_crimes(events, patterns)
-    return run_to_end(spark, result, "append")
+    return complaint_job(spark, sf, "uncommon_crimes", patterns)
 
 
 @query
 def save_to_lake(spark, sf):
-    folder = shared_dir(spark, "archive")
-    rows = feed.archive_rows(complaints(event_stream(spark, sf)))
-    runs.archive_stream(
-        rows, f"{folder}/out", f"{folder}/checkpoint", available_now=True
-    ).awaitTermination()
-    return tables.read_table(spark, f"{folder}/out", schema=COMPLAINT_SCHEMA)
+    return complaint_job(spark, sf, "save_to_lake")

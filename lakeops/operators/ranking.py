@@ -87,7 +87,8 @@ def change_over_time(
 
     The change is against the entity's previous present period and null for its first; shares
     count rows without an entity, which do not appear themselves. One entity holds at most one
-    row per whole number in ``between``, which bounds its window.
+    row per whole number in ``between``, which bounds its window. The counts are computed when this
+    is called (see :func:`lakeops.session.settle`), the rest when the result is used.
     """
     count_name, share_name, change_name = names
     counts = settle(

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from lakeops.functions.numbers import within_radius
 from lakeops.functions.temporal import event_time, iso_text, minute_of_day, window_text
 from lakeops.plans import complaints as feed
+from lakeops.plans import feed as jobs
 from lakeops.plans.values import COMPLAINT_SCHEMA
 from lakeops.sources.events import parse_json_events, read_files
 from lakeops.sources.tables import publish_json
@@ -193,6 +194,31 @@ def test_update_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path):
     assert run() == rows(build(spark.read.text(str(source))))
 
 
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_all_jobs_in_one_session_equal_their_batch_results(spark, tmp_path, mode):
+    source = tmp_path / "in"
+    write_lines(source, "1.json", [complaint(1), complaint(2, "10:59:59", BORO_NM="QUEENS"), complaint(3)])
+    write_lines(source, "2.json", [complaint(4), complaint(5, "11:30:00", Latitude=41.0), complaint(6, "bad")])
+    patterns = spark.createDataFrame(
+        [("BRONX", "WHITE", "VIOLENT_OFFENSE")], "BOROUGH string, RACE string, OFFENSE_TYPE string"
+    )
+    names = [*jobs.WINDOW_QUERIES, "uncommon_crimes", "save_to_lake"]
+    running = [
+        jobs.start_query(
+            stream_text(spark, source), name, f"{tmp_path}/{name}/out", f"{tmp_path}/{name}/c",
+            patterns, mode, available_now=True,
+        )
+        for name in names
+    ]
+    for stream in running:
+        stream.awaitTermination()
+    for name in names:
+        batch = jobs.query_result(spark.read.text(str(source)), name, patterns)
+        got = jobs.read_result(spark, name, f"{tmp_path}/{name}/out", batch.schema, mode)
+        assert rows(got.drop("timestamp")) == rows(batch.drop("timestamp")), name
+        assert got.count() > 0
+
+
 def test_complete_stream_is_sorted_and_keeps_the_last_result(spark, tmp_path):
     source = tmp_path / "in"
     write_lines(source, "1.json", [complaint(1)])
