@@ -1,19 +1,38 @@
 """Running the complaint queries: from messages to a result folder, and reading the result.
 
+Also making messages from complaint rows, for a feed that is replayed.
+
 Any number of them can run in one session. Results default to ``update`` output, where a reader
 takes the newest row of each key; ``complete`` keeps whole sorted results instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from lakeops.functions.temporal import event_time, minute_of_day
+from lakeops.operators.ranking import arrival_schedule
 from lakeops.plans import complaints
 from lakeops.plans.values import COMPLAINT_SCHEMA
+from lakeops.sources.tables import publish_json
 from lakeops.streaming import runs
 
+def _minute() -> Column:
+    return minute_of_day(event_time(F.col("CMPLNT_FR_TM")))
+
+
+def outgoing_messages(rows: DataFrame) -> DataFrame:
+    """Complaint rows as JSON messages, with the minute of the day as ``time_seconds``."""
+    return publish_json(rows.withColumn("time_seconds", _minute()))
+
+
+def sending_schedule(rows: DataFrame) -> DataFrame:
+    """Minutes of the day with complaints to send and the wait until the next one."""
+    return arrival_schedule(rows, _minute())
+
+
 # Window queries: the function, what identifies a result row and the count it is sorted by.
 WINDOW_QUERIES = {
     "complaints_per_hour_and_borough": (

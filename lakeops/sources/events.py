@@ -26,6 +26,19 @@ def read_kafka(
     )
 
 
+def write_kafka(
+    messages: DataFrame, servers: str, topic: str = "complaints", options: Mapping[str, str] | None = None
+) -> None:
+    """Send column ``value`` of a batch frame to a topic, one message per row."""
+    (
+        messages.write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .options(**(options or {}))
+        .save()
+    )
+
+
 def read_files(
     spark: SparkSession,
     path: str,

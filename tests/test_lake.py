@@ -7,7 +7,7 @@ from pyspark.sql import DataFrameWriter, functions as F
 from lakeops.plans import lake, reports, survey as survey_plans, values
 from lakeops.session import settle, shared_dir
 from lakeops.sources import tables
-from lakeops.sources.events import read_kafka
+from lakeops.sources.events import read_kafka, write_kafka
 from lakeops.streaming import runs
 
 
@@ -192,3 +192,5 @@ def test_jdbc_replace_sink(spark, jdbc_calls):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(AnalysisException, match="kafka"):
         read_kafka(spark, "host:9092")
+    with pytest.raises(AnalysisException, match="kafka"):
+        write_kafka(spark.createDataFrame([("{}",)], "value string"), "host:9092")

@@ -78,6 +78,19 @@ def test_publish_keeps_nulls(spark):
     assert json.loads(publish_json(df).first()[0]) == {"a": 1, "b": None, "d": "2024-01-02"}
 
 
+def test_replayed_rows_become_messages_with_a_schedule(spark):
+    df = spark.createDataFrame(
+        [("1", "00:05:30", None), ("2", "00:05:59", 1.5), ("3", "23:59:00", None), ("4", "bad", None)],
+        "CMPLNT_NUM string, CMPLNT_FR_TM string, PD_CD float",
+    )
+    messages = [json.loads(row.value) for row in jobs.outgoing_messages(df).collect()]
+    assert [m["time_seconds"] for m in messages] == [5, 5, 1439, None]
+    parsed = feed.parse_complaints(jobs.outgoing_messages(df))
+    assert "time_seconds" not in parsed.columns
+    assert [r.PD_CD for r in parsed.collect()] == [None, 1.5, None, None]
+    assert rows(jobs.sending_schedule(df)) == sorted([(5, 1434), (1439, None)], key=repr)
+
+
 # Time and place.
 
 
@@ -253,6 +266,19 @@ def test_late_row_is_dropped_with_a_watermark_and_counted_without(spark, tmp_pat
     assert run(None, unbounded) == [(1, 2), (6, 1), (12, 2)]
 
 
+def test_append_with_a_watermark_emits_closed_windows_once(spark, tmp_path):
+    source = tmp_path / "in"
+    for name, hour in (("1", 1), ("2", 2), ("3", 6), ("4", 12)):
+        write_lines(source, f"{name}.json", [complaint(name, f"{hour:02d}:00:00")])
+    messages = stream_text(spark, source)
+    result = jobs.query_result(messages, "unsafest_boroughs", watermark="2 hours")
+    out = str(tmp_path / "out")
+    sink = runs.folder_sink(out)
+    runs.run_stream(result, sink, str(tmp_path / "c"), "append", available_now=True).awaitTermination()
+    got = runs.read_appended(spark, out, result.schema).collect()
+    assert sorted((r.window_start.hour, r.Felonies) for r in got) == [(1, 1), (2, 1), (6, 1)]
+
+
 @pytest.mark.parametrize("max_rows", [1000, 0])
 def test_anti_join_stream_appends_once(spark, tmp_path, monkeypatch, max_rows):
     from lakeops.operators import joins
