@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lakeops.llm.bpe import encode
 from lakeops.llm.chat import format_conversations, prefix_targets, read_turns, unescape
 from lakeops.llm.debruijn import remove_repeated_words
 from lakeops.llm.decontaminate import contamination
+from lakeops.llm.language import identify
 from lakeops.llm.pii import KINDS, find_personal_data
 from lakeops.llm.quality import judge
 from lakeops.llm.suffix_dedup import remove_repeats
 from lakeops.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
+TOKENIZER = "word_bpe_49k.json"
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -85,6 +89,23 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", digest("kept").alias("kept_sha256"))
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = identify(documents, documents.where(~held_out & F.col("lang").isNotNull()))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    encoded = encode(table(spark, sf_dir, "documents"), path or tokenizers.path(TOKENIZER))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        digest("decoded").alias("decoded_sha256"),
+    )
+
+
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents")).select("doc_id", "found")
 
@@ -111,5 +132,7 @@ QUERIES: dict[str, Query] = {
     "op3_decontamination": decontamination,
     "op5_quality_rules": quality_rules,
     "op6_substring_dedup": substring_dedup,
+    "op7_language_id": language_id,
+    "op9_bpe": bpe,
     "op10_pii": pii,
 }
