@@ -49,7 +49,8 @@ def kept_documents(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """
     place = F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS))
     words = (
-        ids.select(F.shiftright(place, 5).cast("int").alias("word"), F.shiftleft(F.lit(1).cast("long"), (place % 32).cast("int")).alias("bit"))
+        ids.select(place.alias("place"))
+        .selectExpr("cast(place div 32 as int) AS word", "shiftleft(1L, cast(place % 32 as int)) AS bit")
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
         .collect()  # at most BITMAP_BITS / 32 rows

@@ -11,6 +11,7 @@ from lakeops.llm.bpe import encode
 from lakeops.llm.chat import format_conversations, prefix_targets, read_turns, unescape
 from lakeops.llm.debruijn import remove_repeated_words
 from lakeops.llm.decontaminate import contamination
+from lakeops.llm.jaccard import link_documents
 from lakeops.llm.language import identify
 from lakeops.llm.pii import KINDS, find_personal_data
 from lakeops.llm.quality import judge
@@ -89,6 +90,10 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", digest("kept").alias("kept_sha256"))
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_documents(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -133,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality_rules": quality_rules,
     "op6_substring_dedup": substring_dedup,
     "op7_language_id": language_id,
+    "op8_jaccard_join": jaccard_join,
     "op9_bpe": bpe,
     "op10_pii": pii,
 }
