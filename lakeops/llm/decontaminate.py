@@ -115,47 +115,111 @@ def _count_tokens(tokens, shingles: list[int]):
     return run
 
 
+def _search(x: dict, buf: np.ndarray, at: np.ndarray) -> tuple[Words, list[list[tuple[int, int, int]]]]:
+    """Words of the texts and, per text, the word spans of windows found and which they are."""
+    lookup = _Filter(x["token"])
+    words = Words(buf, at, ALNUM)
+    hashed = RangeHash(words.hashes(lower=True))
+    hit: list[list[tuple[int, int, int]]] = [[] for _ in range(len(at) - 1)]
+    for k in x["shingles"] if len(lookup.table) else ():
+        grams, places = _grams(hashed, words, k)
+        near = lookup(grams)
+        low = np.searchsorted(lookup.table, grams[near])
+        many = np.searchsorted(lookup.table, grams[near], "right") - low
+        entry = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        window = x["window"][entry]
+        start = np.repeat(places[near], many) - x["offset"][entry]
+        end = start + x["size"][window]
+        doc = np.searchsorted(words.first, np.repeat(places[near], many), "right") - 1
+        fits = (start >= words.first[doc]) & (end <= words.first[doc + 1])
+        start, end, window, doc = start[fits], end[fits], window[fits], doc[fits]
+        same = hashed(start, end) == x["hash"][window]
+        for s, e, w, d in zip(*(v[same].tolist() for v in (start, end, window, doc))):
+            spelled = (LOWER[buf[a:b]].tobytes() for a, b in zip(words.start[s:e].tolist(), words.end[s:e].tolist()))
+            if b" ".join(spelled) == x["words"][w]:
+                base = int(words.first[d])
+                hit[d].append((s - base, e - base, w))
+    return words, hit
+
+
 def _find_windows(shared):
+    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = shared.value
-        lookup = _Filter(x["token"])
         for rows, buf, at in chunks(batches, "text"):
-            words = Words(buf, at, ALNUM)
-            hashed = RangeHash(words.hashes(lower=True))
-            hit = [[] for _ in range(rows.num_rows)]
-            for k in x["shingles"] if len(lookup.table) else ():
-                grams, places = _grams(hashed, words, k)
-                near = lookup(grams)
-                low = np.searchsorted(lookup.table, grams[near])
-                high = np.searchsorted(lookup.table, grams[near], "right")
-                many = high - low
-                entry = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                window = x["window"][entry]
-                start = np.repeat(places[near], many) - x["offset"][entry]
-                end = start + x["size"][window]
-                doc = np.searchsorted(words.first, np.repeat(places[near], many), "right") - 1
-                fits = (start >= words.first[doc]) & (end <= words.first[doc + 1])
-                start, end, window, doc = start[fits], end[fits], window[fits], doc[fits]
-                same = hashed(start, end) == x["hash"][window]
-                start, end, window, doc = start[same], end[same], window[same], doc[same]
-                for s, e, w, d in zip(start.tolist(), end.tolist(), window.tolist(), doc.tolist()):
-                    found = (LOWER[buf[a:b]].tobytes() for a, b in zip(words.start[s:e].tolist(), words.end[s:e].tolist()))
-                    if b" ".join(found) == x["words"][w]:
-                        base = int(words.first[d])
-                        hit[d].append((s - base, e - base, w))
-            spans, items = [], []
-            for found in hit:
-                spans.append(sorted({(s, e) for s, e, _ in found}))
-                items.append(sorted({i for _, _, w in found for i in x["items"][w]}))
-            pairs = pa.array([[{"a": a, "b": b} for a, b in s] for s in spans], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
+            words, hit = _search(x, buf, at)
+            spans = [[{"a": s, "b": e} for s, e in sorted({(s, e) for s, e, _ in found})] for found in hit]
+            items = [sorted({i for _, _, w in found for i in x["items"][w]}) for found in hit]
             yield pa.RecordBatch.from_arrays(
-                [rows.column("id"), rows.column("version"), pa.array(words.count), pairs, pa.array(items, pa.list_(pa.string()))],
+                [rows.column("id"), rows.column("version"), pa.array(words.count), pa.array(spans, kind), pa.array(items, pa.list_(pa.string()))],
                 ["id", "version", "n_words", "spans", "items"],
             )
 
     return run
 
 
+def _indexes(
+    docs: DataFrame, benchmark: DataFrame, item_name: str, item_text: str, window: int, shingle: int, block_bytes: int
+) -> Iterator:
+    """Broadcast windows of the benchmark, block by block, each with its shingles' counts in ``docs``."""
+    context = docs.sparkSession.sparkContext
+    texts = benchmark.select(
+        F.col(f"`{item_name}`").cast("string").alias("item"),
+        F.coalesce(F.col(f"`{item_text}`").cast("string"), F.lit("")).alias("words"),
+    )
+    total = texts.agg(F.coalesce(F.sum(F.octet_length("words") + 64), F.lit(0))).first()[0]
+    blocks = max(1, -(-int(total) // block_bytes))
+    for block in range(blocks):
+        part = texts.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == block).collect()
+        windows = Windows([r.words for r in part], [r.item for r in part], window, shingle)
+        tokens = context.broadcast(windows.all_tokens)
+        counted = (
+            docs.select("text")
+            .mapInArrow(_count_tokens(tokens, windows.shingles), "token long, n long")
+            .groupBy("token")
+            .agg(F.sum("n"))
+            .collect()  # at most one row for each shingle of the block
+        )
+        yield context.broadcast(
+            windows.rarest({token: n for token, n in counted})
+            | {
+                "size": np.array(windows.size, np.int64),
+                "hash": np.array(windows.hash, U64),
+                "words": windows.words,
+                "items": windows.items,
+                "shingles": windows.shingles,
+            }
+        )
+
+
+def drop_contaminated(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_name: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    shingle: int = SHINGLE,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows, with all their columns, that hold no window of a benchmark item."""
+
+    def clean(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, buf, at in chunks(batches, text):
+                _, hit = _search(shared.value, buf, at)
+                yield rows.filter(pa.array([not found for found in hit], pa.bool_()))
+
+        return run
+
+    docs = documents.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    kept = documents
+    for shared in _indexes(docs, benchmark, item_name, item_text, window, shingle, block_bytes):
+        kept = kept.mapInArrow(clean(shared), documents.schema)
+    return kept
+
+
 def contamination(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -179,43 +243,16 @@ def contamination(
     rows; further columns are ignored. Tasks hold at most about ``block_bytes`` of the benchmark:
     its size is measured, and a larger one is taken in several passes over the documents.
     """
-    spark = documents.sparkSession
     docs = as_documents(documents, id_name, text).withColumn("version", F.xxhash64("text"))
-    texts = benchmark.select(
-        F.col(f"`{item_name}`").cast("string").alias("item"),
-        F.coalesce(F.col(f"`{item_text}`").cast("string"), F.lit("")).alias("words"),
-    )
-    total = texts.agg(F.coalesce(F.sum(F.octet_length("words") + 64), F.lit(0))).first()[0]
-    blocks = max(1, -(-int(total) // block_bytes))
-    passes = []
-    for block in range(blocks):
-        part = texts.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == block).collect()
-        windows = Windows([r.words for r in part], [r.item for r in part], window, shingle)
-        tokens = spark.sparkContext.broadcast(windows.all_tokens)
-        counted = (
-            docs.mapInArrow(_count_tokens(tokens, windows.shingles), "token long, n long")
-            .groupBy("token")
-            .agg(F.sum("n"))
-            .collect()  # at most one row for each shingle of the block
-        )
-        shared = spark.sparkContext.broadcast(
-            windows.rarest({token: n for token, n in counted})
-            | {
-                "size": np.array(windows.size, np.int64),
-                "hash": np.array(windows.hash, U64),
-                "words": windows.words,
-                "items": windows.items,
-                "shingles": windows.shingles,
-            }
-        )
-        passes.append(
-            docs.mapInArrow(
-                _find_windows(shared),
-                "id long, version long, n_words long, spans array<struct<a: long, b: long>>, items array<string>",
-            )
+    passes = [
+        docs.mapInArrow(
+            _find_windows(shared),
+            "id long, version long, n_words long, spans array<struct<a: long, b: long>>, items array<string>",
         )
+        for shared in _indexes(docs, benchmark, item_name, item_text, window, shingle, block_bytes)
+    ]
     found = passes[0]
-    if blocks > 1:
+    if (blocks := len(passes)) > 1:
         for more in passes[1:]:
             found = found.unionAll(more)
         found = found.groupBy("id", "version", "n_words").agg(

@@ -160,39 +160,53 @@ def _found(text: Column, kind: Kind) -> Column:
     return F.when(text.rlike(kind.hint), out).otherwise(F.array())
 
 
-def find_personal_data(documents: DataFrame, id_name: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``text`` and ``found``: spans in order of start, then kind as listed.
+def personal_spans(text: Column) -> Column:
+    """Spans of a text in order of start, then kind as listed.
 
     A span has ``start``, ``rank``, ``end``, ``kind``, ``value`` and ``score``. Matches of one kind
-    do not overlap, those of different kinds may. One row per input row, repeated ids included; a
-    null text is empty and has no spans; a null id stays null. Texts of any length are searched
-    whole. An empty table gives an empty result; further columns are ignored.
+    do not overlap, those of different kinds may.
     """
-    read = documents.select(
-        F.col(f"`{id_name}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")
-    )
-    found = F.array_sort(F.concat(*[_found(F.col("text"), kind) for kind in KINDS]))
-    # A generator keeps the search from being copied into every later use of its result.
-    return read.select("doc_id", "text", F.explode(F.array(found)).alias("found"))
+    return F.array_sort(F.concat(*[_found(text, kind) for kind in KINDS]))
 
 
-def mask_personal_data(found: DataFrame, mask: str = "[{}]") -> DataFrame:
-    """``doc_id`` and ``text`` with each span replaced by its kind; of overlapping spans the first
-    stands and the others are covered by it."""
-    text = F.col("text")
+def masked_text(text: Column, found: Column, mask: str = "[{}]") -> Column:
+    """Text with each span replaced by its kind; of overlapping spans the first stands and covers
+    the others."""
+    before, after = (F.lit(part) for part in mask.split("{}"))
 
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["end"]
         between = F.substring(text, (acc["end"] + 1).cast("int"), (s["start"] - acc["end"]).cast("int"))
-        name = F.concat(F.lit(mask.split("{}")[0]), F.upper(s["kind"]), F.lit(mask.split("{}")[1]))
+        part = F.concat(acc["text"], between, before, F.upper(s["kind"]), after)
         return F.struct(
-            F.greatest(acc["end"], s["end"]).alias("end"),
-            F.when(fresh, F.concat(acc["parts"], F.array(between, name))).otherwise(acc["parts"]).alias("parts"),
+            F.greatest(acc["end"], s["end"]).alias("end"), F.when(fresh, part).otherwise(acc["text"]).alias("text")
         )
 
-    start = F.struct(F.lit(0).cast("long").alias("end"), F.array().cast("array<string>").alias("parts"))
+    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit("").alias("text"))
     masked = let(
-        F.aggregate("found", start, step),
-        lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, (acc["end"] + 1).cast("int"), F.char_length(text))),
+        F.aggregate(found, start, step),
+        lambda acc: F.concat(acc["text"], F.substring(text, (acc["end"] + 1).cast("int"), F.char_length(text))),
+    )
+    return F.when(F.size(found) > 0, masked).otherwise(text)
+
+
+def find_personal_data(documents: DataFrame, id_name: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id``, ``text`` and ``found``: the spans of every text (see :func:`personal_spans`).
+
+    One row per input row, repeated ids included; a null text is empty and has no spans; a null id
+    stays null. Texts of any length are searched whole. An empty table gives an empty result;
+    further columns are ignored.
+    """
+    read = documents.select(
+        F.col(f"`{id_name}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")
     )
-    return found.select("doc_id", F.when(F.size("found") > 0, masked).otherwise(text).alias("text"))
+    # A generator keeps the search from being copied into every later use of its result.
+    return read.select("doc_id", "text", F.explode(F.array(personal_spans(F.col("text")))).alias("found"))
+
+
+def mask_personal_data(documents: DataFrame, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, and their personal data masked; a null text stays null."""
+    name = f"`{text}`"
+    spans = F.explode(F.array(personal_spans(F.coalesce(F.col(name).cast("string"), F.lit("")))))
+    found = documents.select("*", spans.alias("__found"))
+    return found.withColumn(text, masked_text(F.col(name), F.col("__found"))).drop("__found")

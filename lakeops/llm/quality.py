@@ -127,36 +127,43 @@ def repeated_lines(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.bincount(doc[again], minlength=len(at) - 1)
 
 
-def _measure(rules: Rules):
+def measure(buf: np.ndarray, at: np.ndarray, rules: Rules) -> dict[str, np.ndarray]:
+    """Counts and verdicts of all texts of a buffer."""
+    words = Words(buf, at, NOT_SPACE)
+    _, symbols = np.unique(words.hashes(), return_inverse=True)
+    longest = repeat_lengths(symbols, words.first)
+    n = words.count
+    three = np.flatnonzero(longest >= 3)
+    repeated = _sum_by(_covered(three, np.full(len(three), 3), len(words)), words.first)
+    spans = np.flatnonzero(longest >= rules.min_repeat)
+    covered = _sum_by(_covered(spans, longest[spans], len(words)), words.first)
+    top = np.zeros(len(n), np.int64)
+    np.maximum.at(top, words.doc, longest)
+    failed = (n < rules.min_words) | (100 * repeated > rules.max_repeat_percent * n)
+    bad = (100 * covered > rules.max_covered_percent * n) | (
+        (top > rules.longest_allowed) & (100 * top > rules.max_longest_percent * n)
+    )
+    return {
+        "n_words": n,
+        "word_chars": _sum_by(NOT_SPACE[buf] & ((buf & 0xC0) != 0x80), at),
+        "n_symbols": _sum_by(SYMBOLS[buf], at),
+        "n_dup_lines": repeated_lines(buf, at),
+        "n_repeat_words": repeated,
+        "covered_words": covered,
+        "longest_repeat": top,
+        "base_failed": failed,
+        "kept": ~failed & ~bad,
+    }
+
+
+def keep_good(documents: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFrame:
+    """The rows, with all their columns, that :func:`judge` would keep."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, at in chunks(batches, "text"):
-            words = Words(buf, at, NOT_SPACE)
-            _, symbols = np.unique(words.hashes(), return_inverse=True)
-            longest = repeat_lengths(symbols, words.first)
-            n = words.count
-            three = np.flatnonzero(longest >= 3)
-            repeated = _sum_by(_covered(three, np.full(len(three), 3), len(words)), words.first)
-            spans = np.flatnonzero(longest >= rules.min_repeat)
-            covered = _sum_by(_covered(spans, longest[spans], len(words)), words.first)
-            top = np.zeros(len(n), np.int64)
-            np.maximum.at(top, words.doc, longest)
-            chars = NOT_SPACE[buf] & ((buf & 0xC0) != 0x80)
-            failed = (n < rules.min_words) | (100 * repeated > rules.max_repeat_percent * n)
-            bad = (100 * covered > rules.max_covered_percent * n) | (
-                (top > rules.longest_allowed) & (100 * top > rules.max_longest_percent * n)
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("id"),
-                    *map(
-                        pa.array,
-                        (n, _sum_by(chars, at), _sum_by(SYMBOLS[buf], at), repeated_lines(buf, at), repeated, covered, top, failed, ~failed & ~bad),
-                    ),
-                ],
-                ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat", "base_failed", "kept"],
-            )
-
-    return run
+        for rows, buf, at in chunks(batches, text):
+            yield rows.filter(pa.array(measure(buf, at, rules)["kept"]))
+
+    return documents.mapInArrow(run, documents.schema)
 
 
 def judge(
@@ -173,8 +180,14 @@ def judge(
     null id stays null. A text of any length is measured whole. An empty table gives an empty
     result; further columns are ignored. No shuffle takes place.
     """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, at in chunks(batches, "text"):
+            found = measure(buf, at, rules)
+            yield pa.RecordBatch.from_arrays([rows.column("id"), *map(pa.array, found.values())], ["id", *found])
+
     measured = as_documents(documents, id_name, text).mapInArrow(
-        _measure(rules),
+        run,
         "id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "covered_words long, longest_repeat long, base_failed boolean, kept boolean",
     )

@@ -13,6 +13,7 @@ from lakeops.llm.debruijn import remove_repeated_words
 from lakeops.llm.decontaminate import contamination
 from lakeops.llm.jaccard import link_documents
 from lakeops.llm.language import identify
+from lakeops.llm.pages import extract_main_text
 from lakeops.llm.pii import KINDS, find_personal_data
 from lakeops.llm.quality import judge
 from lakeops.llm.suffix_dedup import remove_repeats
@@ -81,6 +82,11 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
@@ -135,6 +141,7 @@ QUERIES: dict[str, Query] = {
     "op1_chat_formatting": chat_formatting,
     "op2_suffix_dedup": suffix_dedup,
     "op3_decontamination": decontamination,
+    "op4_html_extraction": html_extraction,
     "op5_quality_rules": quality_rules,
     "op6_substring_dedup": substring_dedup,
     "op7_language_id": language_id,
