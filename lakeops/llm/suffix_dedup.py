@@ -20,9 +20,10 @@ from lakeops.llm.scan import byte_hash, chunks, covered, paths, signed
 
 LENGTH = 200
 GRAM = 64
-# Different runs around one k-gram that one task takes together; more are matched by hash.
-CROWD = 512
 ARRAY_BYTES = 1 << 20
+# Different runs around one k-gram that one suffix array takes together (6 MB of text, as a run has
+# at most 2 * LENGTH - GRAM bytes); more are matched by hash.
+CROWD = (6 << 20) // (2 * LENGTH - GRAM)
 
 
 def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -41,7 +42,7 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         if reach < 4:  # packed bytes are their own ranks
             rank = (rank[:-step] << (8 * step)) | (rank[step:] & ((1 << (8 * step)) - 1))
         else:
-            rank = _dense((rank[:-step] << 32) | rank[step:])
+            rank = _dense((rank[:-step].astype(np.int64) << 32) | rank[step:])
         reach += step
         if reach == 4:
             rank = _dense(rank)
@@ -51,11 +52,11 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _dense(keys: np.ndarray) -> np.ndarray:
     order = np.argsort(keys)
-    ordered = keys[order]
-    new = np.zeros(len(keys), np.int64)
-    new[1:] = ordered[1:] != ordered[:-1]
-    out = np.empty(len(keys), np.int64)
-    out[order] = np.cumsum(new)
+    keys = keys[order]
+    new = np.zeros(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    out = np.empty(len(keys), np.int32)
+    out[order] = np.cumsum(new, dtype=np.int32)
     return out
 
 
