@@ -160,10 +160,7 @@ def _search_blocks(percent: int):
     """Pairs of unlike label within each block (rows come sorted by block) that may be linked."""
 
     def survivors(t: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ok = (t["label"][i] != t["label"][j]) & (t["id"][i] != t["id"][j])
-        ok &= (t["salt"][i] != t["salt"][j]) | t["inner"][i]
-        n, m = t["n"][i], t["n"][j]
-        ok &= (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+        ok = ((t["salt"][i] != t["salt"][j]) | t["inner"][i]) & _compatible(t, i, j, percent)
         i, j = i[ok], j[ok]
         keep = np.zeros(len(i), bool)
         for a in range(0, len(i), 1 << 16):
@@ -174,7 +171,7 @@ def _search_blocks(percent: int):
 
     def search(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches).combine_chunks()
-        t = {c: table.column(c).to_numpy() for c in ("block", "id", "label", "n", "salt", "inner")}
+        t = {c: table.column(c).to_numpy() for c in ("block", "id", "label", "n", "pos", "salt", "inner")}
         t["groups"] = table.column("groups").combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)
         starts = np.flatnonzero(np.append(True, t["block"][1:] != t["block"][:-1]))
         sizes = np.diff(np.append(starts, len(t["block"])))
@@ -195,26 +192,67 @@ def _search_blocks(percent: int):
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            blocks = batch.column("block").to_numpy()
-            # A block may go on in the next batch: hold its rows back.
-            cut = int(np.searchsorted(blocks, blocks[-1]))
-            if cut or (held and held[-1].column("block")[-1].as_py() != blocks[0]):
-                yield from search([*held, batch.slice(0, cut)] if cut else held)
-                held = []
-            held.append(batch.slice(cut))
-        if held:
-            yield from search(held)
+        for whole in _whole_blocks(batches, "block"):
+            yield from search(whole)
+
+    return run
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[list[pa.RecordBatch]]:
+    """Batches of rows sorted by block, regrouped so that no block is cut."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        blocks = batch.column(column).to_numpy()
+        cut = int(np.searchsorted(blocks, blocks[-1]))  # the last block may go on
+        if cut or (held and held[-1].column(column)[-1].as_py() != blocks[0]):
+            yield [*held, batch.slice(0, cut)] if cut else held
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield held
+
+
+def _compatible(t: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether rows of a block may be linked by label, size and place of the shared shingle.
+
+    The first shingle two sets share leaves them only what comes after it in both, so some block
+    of a linked pair passes.
+    """
+    n, m = t["n"][i], t["n"][j]
+    rest = np.minimum(n - t["pos"][i], m - t["pos"][j])
+    return (
+        (t["label"][i] != t["label"][j])
+        & (t["id"][i] != t["id"][j])
+        & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+        & (rest * (100 + percent) >= percent * (n + m))
+    )
+
+
+def _thin_blocks(percent: int):
+    """Rows of small blocks that have a compatible row in their block; of others all rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _whole_blocks(batches, "token"):
+            table = pa.Table.from_batches(whole).combine_chunks()
+            t = {c: table.column(c).to_numpy() for c in ("token", "id", "label", "n", "pos")}
+            starts = np.flatnonzero(np.append(True, t["token"][1:] != t["token"][:-1]))
+            sizes = np.diff(np.append(starts, len(t["token"])))
+            small = sizes <= LEAF
+            keep = np.repeat(~small, sizes)
+            if small.any():
+                i, j = _pairs_within(starts[small], sizes[small])
+                ok = _compatible(t, i, j, percent)
+                keep[i[ok]] = keep[j[ok]] = True
+            yield from table.filter(pa.array(keep)).to_batches()
 
     return run
 
 
-def _bound(percent: int, a: str = "ga", b: str = "gb") -> Column:
-    shared = F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
-    return shared * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
+def _fits(percent: int, n: Column, m: Column, most: Column) -> Column:
+    """Whether sets of these sizes with at most so many common shingles can be linked."""
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (most * (100 + percent) >= percent * (n + m))
 
 
 def verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -276,19 +314,26 @@ def link_documents(
         "jaccard-points",
     )
     vectors = points.select("id", "n", "groups")
-    dealt = points.select("id", "n", F.explode("prefix").alias("token"))
-    shared = dealt.groupBy("token").agg(F.min("id").alias("head"), F.count("*").alias("members")).where("members > 1")
+    dealt = points.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
+    shared = (
+        dealt.groupBy("token")
+        .agg(F.min(F.struct("id", "n", "pos")).alias("head"), F.count("*").alias("members"))
+        .where("members > 1")
+    )
     met = kept_table(dealt.join(shared, "token"), "jaccard-blocks")
 
-    left = vectors.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("groups").alias("ga"))
-    right = vectors.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("groups").alias("gb"))
+    left = vectors.select(F.col("id").alias("a"), F.col("groups").alias("ga"))
+    right = vectors.select(F.col("id").alias("b"), F.col("groups").alias("gb"))
+    head = F.col("head")
+    rest = F.least(head["n"] - head["pos"], F.col("n") - F.col("pos"))
+    least = F.aggregate(F.zip_with("ga", "gb", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
     nearest = (
-        met.where("id <> head")
-        .select(F.col("head").alias("a"), F.col("id").alias("b"))
+        met.where((F.col("id") != head["id"]) & _fits(percent, head["n"], F.col("n"), rest))
+        .select(head["id"].alias("a"), F.col("id").alias("b"), head["n"].alias("na"), F.col("n").alias("nb"))
         .distinct()
         .join(left, "a")
         .join(right, "b")
-        .where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & _bound(percent))
+        .where(_fits(percent, F.col("na"), F.col("nb"), least))
         .groupBy("b")
         .agg(F.min("a").alias("a"))
     )
@@ -296,23 +341,29 @@ def link_documents(
     links = kept_table(verified(docs, tried, k, percent), "jaccard-links")
     labels = components(links)
 
-    placed = met.join(labels, "id", "left").withColumn("label", F.coalesce("root", "id"))
-    mixed = placed.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    placed = (
+        met.select("token", "id", "n", "pos", "members")
+        .join(labels, "id", "left")
+        .select("token", "id", "n", "pos", "members", F.coalesce("root", "id").alias("label"))
+    )
+    small = placed.where(F.col("members") <= crowd)
+    thin = small.repartition("token").sortWithinPartitions("token").mapInArrow(_thin_blocks(percent), small.schema)
     cells = F.ceil(F.col("members") / crowd).cast("int")
     searched = (
-        placed.join(mixed.select("token"), "token")
-        .select("id", "n", "label", "token", cells.alias("cells"), F.pmod(F.xxhash64("id"), cells).cast("int").alias("salt"))
+        thin.unionAll(placed.where(F.col("members") > crowd))
+        .select("*", cells.alias("cells"), F.pmod(F.xxhash64("id"), cells).cast("int").alias("salt"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
         .select(
             "id",
             "n",
+            "pos",
             "label",
             "salt",
             (F.col("salt") == F.col("other")).alias("inner"),
             F.xxhash64("token", F.least("salt", "other"), F.greatest("salt", "other")).alias("block"),
         )
         .join(vectors.select("id", "groups"), "id")
-        .select("block", "id", "label", "n", "salt", "inner", "groups")
+        .select("block", "id", "label", "n", "pos", "salt", "inner", "groups")
         .repartition("block")
         .sortWithinPartitions("block")
         .mapInArrow(_search_blocks(percent), "a long, b long")
