@@ -74,12 +74,13 @@ COMPLAINT = {
     "CMPLNT_NUM": "cast(event_id as string)",
     "OFNS_DESC": "upper(event_type)",
     "KY_CD": "user_id",
-    "PD_DESC": """case event_id % 12
+    "PD_DESC": """case event_id % 14
         when 0 then 'ROBBERY,HOME INVASION' when 1 then 'LARCENY,PETIT FROM AUTO'
         when 2 then 'CANNABIS SALE, 3' when 3 then 'TRESPASS 3, CRIMINAL'
         when 4 then 'TRESPASS 2, CRIMINAL' when 5 then 'MISCHIEF, CRIMINAL 4, BY FIRE'
         when 6 then 'SOMETHING NEW' when 8 then 'ASSAULT 3' when 9 then 'FORGERY,ETC.-MISD.'
-        when 10 then 'BURGLARY,RESIDENCE,DAY' when 11 then 'CONTROLLED SUBSTANCE, SALE 5' end""",
+        when 10 then 'BURGLARY,RESIDENCE,DAY' when 11 then 'CONTROLLED SUBSTANCE, SALE 5'
+        when 12 then 'RAPE 9' when 13 then 'LARCENY,NEW KIND' end""",
     "LAW_CAT_CD": """case when event_type in ('purchase', 'error') then 'FELONY'
         when event_type = 'click' then 'MISDEMEANOR' else 'VIOLATION' end""",
     "BORO_NM": f"case user_id % 7 {_BOROUGH} end",

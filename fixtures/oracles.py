@@ -158,7 +158,7 @@ ORACLES["modal_with_ties"] = """
     with located as (
         select n_regionkey, c_mktsegment, n_name, count(*) as n
         from customer join nation on c_nationkey = n_nationkey
-        where c_acctbal > 0 group by all
+        group by all
     )
     select n_regionkey, c_mktsegment, n_name from located as a
     where n = (
@@ -451,7 +451,7 @@ ORACLES["add_borough"] = MAPPED
 ORACLES["common_patterns"] = PATTERNS
 ORACLES["print_patterns"] = f"""
     select * from ({PATTERNS})
-    order by BOROUGH, ranking, RACE nulls first, OFFENSE_TYPE nulls first limit 60
+    order by BOROUGH, ranking, RACE nulls first, OFFENSE_TYPE nulls first
 """
 
 # Sources and sinks.
@@ -531,6 +531,7 @@ ORACLES["unsafest_boroughs"] = f"""
         BORO_NM as "Borough", count(*) as "Felonies"
     from {FELONIES} group by all
 """
+ORACLES["unsafest_boroughs_watermark"] = ORACLES["unsafest_boroughs"]
 ORACLES["location_safety"] = f"""
     with felonies as (
         select time_bucket(interval 2 hours, moment, timestamp '2000-01-01') as b,

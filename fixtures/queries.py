@@ -97,7 +97,7 @@ def share_index(spark, sf):
 
 @query
 def modal_with_ties(spark, sf):
-    customers = table(spark, sf, "customer").where("c_acctbal > 0")
+    customers = table(spark, sf, "customer")
     nations = table(spark, sf, "nation")
     located = joins.join_dimension(customers, nations, {"c_nationkey": "n_nationkey"}, "inner")
     counts = shares.count_by(located, ["n_regionkey", "c_mktsegment", "n_name"])
@@ -134,7 +134,7 @@ def mine_common_patterns(spark, sf):
 @query
 def arrival_schedule(spark, sf):
     events = table(spark, sf, "events")
-    return ranking.arrival_schedule(events, temporal.minute_of_day(F.col("ts")))
+    return ranking.arrival_schedule(events, F.col("ts"))
 
 
 # Cleaning and coding.
@@ -425,13 +425,14 @@ def print_patterns(spark, sf):
 
 
 def complaint_job(
-    spark: SparkSession, sf: str, name: str, patterns: DataFrame | None = None, mode: str = "update"
+    spark: SparkSession, sf: str, name: str, patterns: DataFrame | None = None, mode: str = "update",
+    watermark: str | None = None,
 ) -> DataFrame:
     folder = shared_dir(spark, name)
     messages = complaint_messages(event_stream(spark, sf))
-    schema = feed.query_result(messages, name, patterns, mode).schema
+    schema = feed.query_result(messages, name, patterns, mode, watermark).schema
     feed.start_query(
-        messages, name, f"{folder}/out", f"{folder}/checkpoint", patterns, mode, available_now=True
+        messages, name, f"{folder}/out", f"{folder}/checkpoint", patterns, mode, watermark, available_now=True
     ).awaitTermination()
     return feed.read_result(spark, name, f"{folder}/out", schema, mode).drop("timestamp")
 
@@ -451,6 +452,11 @@ def unsafest_boroughs(spark, sf):
     return complaint_job(spark, sf, "unsafest_boroughs")
 
 
+@query
+def unsafest_boroughs_watermark(spark, sf):
+    return complaint_job(spark, sf, "unsafest_boroughs", watermark="1 hour")
+
+
 @query
 def location_safety(spark, sf):
     return complaint_job(spark, sf, "location_safety")

@@ -48,16 +48,15 @@ def weighted_label(
     return F.when(choose <= explore, any_label).otherwise(picked)
 
 
-def draw_columns(seed: int, key: Sequence[str] | None) -> list[Column]:
+def draw_columns(seed: int, key: Sequence[str]) -> list[Column]:
     """Three independent uniform draws per row.
 
-    With ``key`` (columns that identify a row) they depend on the row alone. Without one they
-    depend on the row's place in its partition and repeat only while the input files stay as
-    they are, so the frame must come straight from a scan.
+    They depend on the seed and on ``key`` alone, the columns that identify a row, so a retry, a
+    join or a repartition changes none of them.
     """
-    if key:
-        return [uniform(seed + i, *[F.col(f"`{c}`") for c in key]) for i in range(3)]
-    return [F.rand(seed + i) for i in range(3)]
+    if not key:
+        raise ValueError("draws need the columns that identify a row")
+    return [uniform(seed + i, *[F.col(f"`{c}`") for c in key]) for i in range(3)]
 
 
 def weighted_assign(
@@ -65,7 +64,7 @@ def weighted_assign(
     weights: dict[str, str],
     name: str,
     seed: int,
-    key: Sequence[str] | None = None,
+    key: Sequence[str],
     explore: float = 0.1,
 ) -> DataFrame:
     """Add column ``name`` with a label drawn by ``{label: column of cumulative weight}``."""

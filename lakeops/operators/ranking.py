@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeops.functions.numbers import ratio
+from lakeops.functions.temporal import minute_of_day
 from lakeops.operators.joins import join_groups
 from lakeops.operators.shares import count_by
-from lakeops.session import settle
 
 
 def top_k_per_group(
@@ -87,27 +87,21 @@ def change_over_time(
 
     The change is against the entity's previous present period and null for its first; shares
     count rows without an entity, which do not appear themselves. One entity holds at most one
-    row per whole number in ``between``, which bounds its window. The counts are computed when this
-    is called (see :func:`lakeops.session.settle`), the rest when the result is used.
+    row per whole number in ``between``, which bounds its window. Nothing runs before the result is
+    used; both branches read one exchange, because rows without an entity stay until the end.
     """
     count_name, share_name, change_name = names
-    counts = settle(
-        count_by(df.where(F.col(period).between(*between)), [entity, period], count_name)
-    )
+    counts = count_by(df.where(F.col(period).between(*between)), [entity, period], count_name)
     totals = counts.groupBy(period).agg(F.sum(count_name).alias("__total"))
-    shares = (
-        counts.where(F.col(entity).isNotNull())
-        .join(totals, on=period)
-        .withColumn(share_name, ratio(F.col(count_name), F.col("__total"), 100.0))
+    shares = join_groups(counts, totals, [period]).withColumn(
+        share_name, ratio(F.col(count_name), F.col("__total"), 100.0)
     )
     previous = F.lag(share_name).over(Window.partitionBy(entity).orderBy(period))
-    return shares.select(
-        period,
-        entity,
-        count_name,
-        share_name,
-        F.round(F.col(share_name) - previous, 2).alias(change_name),
-    )
+    change = F.round(F.col(share_name) - previous, 2).alias(change_name)
+    changes = shares.select(F.struct(period, entity, count_name, share_name, change).alias("__row"))
+    # The generator keeps the filter from being pushed into one branch only.
+    changes = changes.select(F.explode_outer(F.array("__row")).alias("__row"))
+    return changes.where(F.col("__row")[entity].isNotNull()).select("__row.*")
 
 
 def change_text(change: Column) -> Column:
@@ -128,11 +122,12 @@ def mine_common_patterns(df: DataFrame, outer: str, keys: Sequence[str], k: int)
     )
 
 
-def arrival_schedule(df: DataFrame, minute: Column) -> DataFrame:
+def arrival_schedule(df: DataFrame, time: Column) -> DataFrame:
     """Minutes of the day that hold rows and the gap to the next such minute (null for the last).
 
-    The distinct step leaves at most 1,440 rows, all the window ever sees.
+    The minute is taken from ``time``, so there are at most 1,440, which is all the window ever
+    sees. Rows without a time give one row with a null minute and no gap.
     """
-    buckets = df.select(minute.alias("bucket")).where("bucket BETWEEN 0 AND 1439").distinct()
-    following = F.lead("bucket").over(Window.orderBy("bucket"))
+    buckets = df.select(minute_of_day(time).alias("bucket")).distinct()
+    following = F.lead("bucket").over(Window.orderBy(F.asc_nulls_last("bucket")))
     return buckets.select("bucket", (following - F.col("bucket")).alias("gap"))

@@ -11,6 +11,7 @@ from lakeops.functions.numbers import within_radius
 from lakeops.functions.temporal import event_time, window_text
 from lakeops.operators.joins import join_dimension
 from lakeops.plans import values
+from lakeops.plans.offenses import OFFENSE_CLASSES
 from lakeops.sources.events import parse_json_events
 from lakeops.streaming.runs import BatchSink
 from lakeops.streaming.windows import flatten_window, tumbling_counts, window_status
@@ -106,19 +107,21 @@ def location_safety(
 def uncommon_crimes(
     events: DataFrame,
     patterns: DataFrame,
-    offense_classes: Mapping[str, str] | None = None,
+    offense_classes: Mapping[str, str] = OFFENSE_CLASSES,
     races: Mapping[str, str] = values.COMPLAINT_RACE,
+    prefix_rules: Sequence[tuple[str, Sequence[str]]] | None = None,
 ) -> DataFrame:
     """Complaints whose borough, race and offense class match no common pattern.
 
-    Complaints lacking one of the three match nothing and are kept. Offense classes come from the
-    prefix rules, or from ``offense_classes`` where given; other descriptions stand for themselves.
+    Complaints lacking one of the three match nothing and are kept. Offense classes come from
+    ``offense_classes``; other descriptions stand for themselves. With ``prefix_rules`` they come
+    from those instead.
     """
     description = F.col("PD_DESC")
-    if offense_classes is None:
-        offense = classify_by_prefix(description, values.OFFENSE_RULES)
-    else:
+    if prefix_rules is None:
         offense = normalise_category(description, offense_classes)
+    else:
+        offense = classify_by_prefix(description, prefix_rules)
     mapped = events.select(
         "CMPLNT_NUM",
         "CMPLNT_FR_TM",

@@ -30,7 +30,7 @@ def outgoing_messages(rows: DataFrame) -> DataFrame:
 
 def sending_schedule(rows: DataFrame) -> DataFrame:
     """Minutes of the day with complaints to send and the wait until the next one."""
-    return arrival_schedule(rows, _minute())
+    return arrival_schedule(rows, event_time(F.col("CMPLNT_FR_TM")))
 
 
 # Window queries: the function, what identifies a result row and the count it is sorted by.

@@ -31,11 +31,16 @@ def prepare_patterns(
     weights: str,
     mapped: str,
     patterns: str,
-    seed: int = 0,
-    key: Sequence[str] | None = None,
+    seed: int,
+    key: Sequence[str],
+    compat: bool = False,
 ) -> DataFrame:
-    """Draw boroughs by the weight file, mine common patterns, write both, return the patterns."""
-    drawn = survey_plans.add_borough(survey, read_table(spark, weights, "csv"), seed, key)
+    """Draw boroughs by the weight file, mine common patterns, write both, return the patterns.
+
+    ``key`` names the columns of ``survey`` that identify a respondent (see ``keep`` of
+    :func:`prepare_survey`).
+    """
+    drawn = survey_plans.add_borough(survey, read_table(spark, weights, "csv"), seed, key, compat)
     write_table(drawn, mapped, mode="overwrite")
     write_table(survey_plans.common_patterns(read_table(spark, mapped)), patterns, mode="overwrite")
     return read_table(spark, patterns)

@@ -13,7 +13,6 @@ from lakeops.operators.columns import blank_negative, drop_sparse_columns
 from lakeops.operators.joins import join_dimension
 from lakeops.operators.ranking import mine_common_patterns
 from lakeops.plans import values
-from lakeops.sources.tables import preview
 
 # Survey variables kept as numbers and their names in the report table.
 NUMBERS = {
@@ -87,8 +86,8 @@ def for_reports(curated: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def add_borough(
     survey: DataFrame,
     weights: DataFrame,
-    seed: int = 0,
-    key: Sequence[str] | None = None,
+    seed: int,
+    key: Sequence[str],
     compat: bool = False,
 ) -> DataFrame:
     """Offense type, race and a borough drawn by the weights of that offense type and race.
@@ -100,7 +99,7 @@ def add_borough(
     numbers = weights.withColumns({c: F.col(f"`{c}`").try_cast("double") for c in columns.values()})
     limits = cumulative_weights(numbers, list(columns.values()), compat=compat)
     joined = join_dimension(
-        survey.select("OFFENSE_TYPE", "RACE", *(key or ())),
+        survey.select("OFFENSE_TYPE", "RACE", *key),
         limits.select("PD_DESC_Mapped", "SUSP_RACE_Mapped", *columns.values()),
         {"OFFENSE_TYPE": "PD_DESC_Mapped", "RACE": "SUSP_RACE_Mapped"},
         how="left",
@@ -116,6 +115,6 @@ def common_patterns(mapped: DataFrame) -> DataFrame:
     return patterns.select("BOROUGH", "RACE", "OFFENSE_TYPE", "ranking")
 
 
-def show_patterns(patterns: DataFrame, rows: int = 60) -> DataFrame:
-    """The first patterns by borough."""
-    return preview(patterns, rows, "BOROUGH", "ranking", "RACE", "OFFENSE_TYPE")
+def show_patterns(patterns: DataFrame) -> DataFrame:
+    """All patterns, by borough and rank."""
+    return patterns.orderBy("BOROUGH", "ranking", "RACE", "OFFENSE_TYPE")

@@ -18,6 +18,14 @@ def with_watermark(df: DataFrame, time: str, delay: str | None) -> DataFrame:
     return df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
 
 
+def _as_given(result: DataFrame, df: DataFrame, time: str) -> DataFrame:
+    """Windows with the type of the time they were made from, whether or not a watermark was set."""
+    kind = df.schema[time].dataType.simpleString()
+    if kind not in ("timestamp", "timestamp_ntz"):
+        return result
+    return result.withColumn("window", F.col("window").cast(f"struct<start:{kind},end:{kind}>"))
+
+
 def tumbling_counts(
     df: DataFrame,
     time: str,
@@ -28,9 +36,10 @@ def tumbling_counts(
 ) -> DataFrame:
     """Rows per time window and keys. Rows without a time belong to no window."""
     timed = with_watermark(df, time, watermark)
-    return timed.groupBy(F.window(time, width).alias("window"), *keys).agg(
+    counts = timed.groupBy(F.window(time, width).alias("window"), *keys).agg(
         F.count("*").alias(count_name)
     )
+    return _as_given(counts, df, time)
 
 
 def window_status(
@@ -50,7 +59,7 @@ def window_status(
         F.count_if(predicate).alias(hits_name)
     )
     status = F.when(F.col(hits_name) >= threshold, labels[0]).otherwise(labels[1])
-    return hits.withColumn(name, status)
+    return _as_given(hits.withColumn(name, status), df, time)
 
 
 def flatten_window(df: DataFrame, window: str = "window") -> DataFrame:

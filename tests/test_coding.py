@@ -20,6 +20,7 @@ from lakeops.operators.columns import (
     sparse_columns,
 )
 from lakeops.plans import values
+from lakeops.plans.offenses import OFFENSE_CLASSES
 
 
 def column(df, expression):
@@ -156,3 +157,13 @@ def test_profile_of_a_wide_table(spark):
     )
     profile = missing_profile(df).first()
     assert profile["V0000"] == 25 and profile["V0001"] == 50
+
+
+def test_offense_table(spark):
+    """Every listed description has its class; others pass through, listed prefix or not."""
+    others = ["RAPE 9", "LARCENY,NEW KIND", "ESCAPE ROOM", None]
+    df = spark.createDataFrame([(t,) for t in [*OFFENSE_CLASSES, *others]], "text string")
+    got = column(df, normalise_category(F.col("text"), OFFENSE_CLASSES))
+    assert got == [*OFFENSE_CLASSES.values(), *others] and len(OFFENSE_CLASSES) == 253
+    assert OFFENSE_CLASSES["ASSAULT 3"] == "Violent_Offense"
+    assert OFFENSE_CLASSES["LARCENY,GRAND OF AUTO"] == "Property_Offense"

@@ -135,10 +135,12 @@ def test_assignment_repeats_after_repartition_and_follows_weights(spark):
     assert share["b"] == pytest.approx(0.9 * 0.3 + 0.1 / 3, abs=0.015)
 
 
-def test_assignment_without_key_needs_no_key_column(spark):
-    df = spark.range(100).select(F.lit(1.0).alias("wa"), F.lit(1.0).alias("wb"))
-    drawn = weighted_assign(df, {"a": "wa", "b": "wb"}, "label", seed=5, explore=0.0)
+def test_assignment_needs_a_key(spark):
+    df = spark.range(100).select("id", F.lit(1.0).alias("wa"), F.lit(1.0).alias("wb"))
+    drawn = weighted_assign(df, {"a": "wa", "b": "wb"}, "label", seed=5, key=["id"], explore=0.0)
     assert {row.label for row in drawn.collect()} == {"a"}
+    with pytest.raises(ValueError):
+        weighted_assign(df, {"a": "wa", "b": "wb"}, "label", seed=5, key=[])
 
 
 def test_borough_job_without_weights_is_unknown_unless_explored(spark):

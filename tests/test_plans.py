@@ -56,3 +56,12 @@ def test_decoding_needs_no_python_worker_and_stays_compiled(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
     assert len(raw_survey(spark, SF_DIR).columns) == len(RAW_SURVEY) + 1
+
+
+def test_changes_are_one_lazy_plan(spark):
+    yearly = table(spark, SF_DIR, "orders").select("o_orderstatus", F.year("o_orderdate").alias("yr"))
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    df = ranking.change_over_time(yearly, "o_orderstatus", "yr", (1996, 2001))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+    df.collect()
+    assert scans(df._jdf.queryExecution().executedPlan().toString()) == 1

@@ -123,8 +123,10 @@ def test_most_frequent_keeps_ties_and_skips_null_keys(spark):
 
 
 def test_schedule_gaps(spark):
-    df = spark.createDataFrame([(5,), (5,), (9,), (1439,), (None,)], "m int")
-    assert rows(arrival_schedule(df, F.col("m"))) == sorted([(5, 4), (9, 1430), (1439, None)], key=repr)
+    data = [("00:05",), ("00:05",), ("00:09",), ("23:59",), (None,)]
+    df = spark.createDataFrame(data, "m string").select(F.to_timestamp("m", "HH:mm").alias("t"))
+    expected = [(5, 4), (9, 1430), (1439, None), (None, None)]
+    assert rows(arrival_schedule(df, F.col("t"))) == sorted(expected, key=repr)
 
 
 def test_one_group_holding_most_rows(spark):
