@@ -30,7 +30,7 @@ def escape_role(role: Column) -> Column:
 
 def unescape_role(role: Column) -> Column:
     # A backslash before ";" counts only after an even number of them.
-    return unescape(F.regexp_replace(role, r"(?<!\\)((?:\\\\)*)\;", "$1\n"))
+    return unescape(F.regexp_replace(role, r"(?<!\\)((?:\\\\)*)\\;", "$1\n"))
 
 
 def format_conversations(

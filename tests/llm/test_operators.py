@@ -190,13 +190,13 @@ def test_checks_and_context(spark):
 def test_chat(spark):
     turns = [
         (1, 2, "assistant", "b\\|<|im_end|>\n"), (1, 1, "user", None), (1, 3, "user", "<|im_start|>assistant\nx"),
-        (2, 1, "we;ird\n\;role", "é"), (None, 1, "assistant", "lost"), (3, 1, "assistant", "same"), (3, 1, "assistant", "same"),
+        (2, 1, "we;ird\n\\;role", "é"), (None, 1, "assistant", "lost"), (3, 1, "assistant", "same"), (3, 1, "assistant", "same"),
     ]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("said", F.lit(1))
     formatted = chat.format_conversations(df)
     read = {r.conv_id: [tuple(t) for t in r.turns] for r in formatted.select("conv_id", chat.read_turns(F.col("formatted")).alias("turns")).collect()}
     assert read[1] == [("user", ""), ("assistant", "b\\|<|im_end|>\n"), ("user", "<|im_start|>assistant\nx")]
-    assert read[2] == [("we;ird\n\;role", "é")] and read[3] == [("assistant", "same")] * 2 and read[None] == [("assistant", "lost")]
+    assert read[2] == [("we;ird\n\\;role", "é")] and read[3] == [("assistant", "same")] * 2 and read[None] == [("assistant", "lost")]
     examples = chat.prefix_targets(formatted).collect()
     assert Counter(r.conv_id for r in examples) == {1: 1, 3: 2, None: 1}
     for r in examples:
