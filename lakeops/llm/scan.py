@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = U64(pow(int(_BASE), -1, 1 << 64))
 _BYTE_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
