@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import struct
 
 from fixtures.inputs import COMPLAINT, RAW_SURVEY, RESPONDENT
 from lakeops.plans import values
@@ -31,6 +30,12 @@ P1, P2, P3 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 P4, P5 = 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
 WORD = 2**64
 
+# Hash of the seed, the draw's index and a key without nulls, for draws 0, 1 and 2.
+STARTS = {
+    7: (0xdfcf5ca1fd0b61d9, 0x5280c0523b15f5dd, 0x4f9c7fa0013fddda),
+    11: (0x2d7ed744602ca33c, 0xaf50d02ed4c65e44, 0xf09d936d38b3af57),
+}
+
 
 def _big(number: int) -> str:
     return f"{number}::uhugeint"
@@ -40,9 +45,9 @@ def _rotated(value: str, bits: int) -> str:
     return f"({value} * {_big(2**bits)} % {_big(WORD)} + {value} // {_big(2 ** (64 - bits))})"
 
 
-def draws(source: str, key: str, seeds: dict[str, int]) -> str:
-    """``source`` with one uniform column per ``{name: seed}``, from ``key``."""
-    import xxhash
+def draws(source: str, key: str, seed: int) -> str:
+    """``source`` with the three uniform columns ``explore``, ``which`` and ``spin``, from ``key``."""
+    seeds = dict(zip(("explore", "which", "spin"), STARTS[seed]))
 
     def step(expression: str, **extra: str) -> str:
         return ", ".join(
@@ -50,8 +55,8 @@ def draws(source: str, key: str, seeds: dict[str, int]) -> str:
         )
 
     starts = {
-        name: _big((xxhash.xxh64_intdigest(struct.pack("<q", seed), seed=42) + P5 + 8) % WORD)
-        for name, seed in seeds.items()
+        name: _big((begin + P5 + 8) % WORD)
+        for name, begin in seeds.items()
     }
     first = ", ".join(f"{key}::uhugeint * {_big(P2)} % {_big(WORD)} as {name}" for name in seeds)
     steps = [
@@ -82,10 +87,6 @@ def wheel(labels: list[str], limits: list[str]) -> str:
     )
 
 
-def seeds(first: int) -> dict[str, int]:
-    return {"explore": first, "which": first + 1, "spin": first + 2}
-
-
 # Shares, indexes and scores.
 
 ORACLES["count_by"] = """
@@ -436,12 +437,12 @@ ORACLES["cumulative_weights_compat"] = """
 _labels = ["a", "b", "c"]
 ORACLES["weighted_assign"] = f"""
     select event_id, {wheel(_labels, ["0.5", "0.8", "1.0"])} as label
-    from ({draws("events", "event_id", seeds(7))})
+    from ({draws("events", "event_id", 7)})
 """
 _sums = [" + ".join(f"coalesce(w{j}, 0) / 100" for j in range(i + 1)) for i in range(6)]
 MAPPED = f"""
     select s.OFFENSE_TYPE, s.RACE, {wheel(list(values.BOROUGHS), _sums)} as BOROUGH
-    from ({draws(f"({SURVEY})", "RESPONDENT", seeds(11))}) as s left join ({WEIGHTS}) as w
+    from ({draws(f"({SURVEY})", "RESPONDENT", 11)}) as s left join ({WEIGHTS}) as w
         on s.OFFENSE_TYPE = w.OFFENSE_TYPE and s.RACE = w.RACE
 """
 PATTERNS = _patterns(

@@ -47,7 +47,12 @@ def run_to_end(
 ) -> DataFrame:
     """Run a stream over everything present and return the table its sink has made."""
     folder = shared_dir(spark, "stream")
-    sink = runs.folder_sink(f"{folder}/out", order_by)
+    if mode == "append":
+        sink = runs.folder_sink(f"{folder}/out")
+    elif mode == "complete":
+        sink = runs.latest_sink(f"{folder}/out", order_by)
+    else:
+        sink = runs.upsert_sink(f"{folder}/out", keys)
     runs.run_stream(df, sink, f"{folder}/checkpoint", mode, available_now=True).awaitTermination()
     if mode == "append":
         return runs.read_appended(spark, f"{folder}/out", df.schema)

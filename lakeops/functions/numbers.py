@@ -21,12 +21,18 @@ def ratio(part: Column, whole: Column, scale: float = 1.0, digits: int | None =
     return value if digits is None else F.round(value, digits)
 
 
-def uniform(seed: int, *key: Column) -> Column:
-    """Number in [0, 1) that depends only on ``seed`` and ``key``.
+def uniform(seed: int, *key: Column, draw: int = 0) -> Column:
+    """Number in [0, 1) that depends only on ``seed``, ``draw`` and ``key``.
 
-    The same row gets the same number after a retry, a repartition or a lost executor.
+    The same row gets the same number after a retry, a repartition or a lost executor. Several
+    draws of a row differ by ``draw``, so neighbouring seeds share none. Nulls, which the hash
+    itself skips, count by their place in the key.
     """
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), *key), 11)
+    absent = F.lit(0).cast("long")
+    for place, column in enumerate(key):
+        absent = absent + F.when(column.isNull(), F.lit(1 << place)).otherwise(0).cast("long")
+    start = [F.lit(seed).cast("long"), F.lit(draw).cast("long"), absent]
+    bits = F.shiftrightunsigned(F.xxhash64(*start, *key), 11)
     return bits * F.lit(2.0**-53)
 
 

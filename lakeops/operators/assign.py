@@ -56,7 +56,7 @@ def draw_columns(seed: int, key: Sequence[str]) -> list[Column]:
     """
     if not key:
         raise ValueError("draws need the columns that identify a row")
-    return [uniform(seed + i, *[F.col(f"`{c}`") for c in key]) for i in range(3)]
+    return [uniform(seed, *[F.col(f"`{c}`") for c in key], draw=i) for i in range(3)]
 
 
 def weighted_assign(

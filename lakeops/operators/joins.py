@@ -16,12 +16,13 @@ def fits_broadcast(
 ) -> bool:
     """Whether a batch frame is measured to be small enough to send to every executor.
 
-    One distributed aggregate counts rows and the bytes of their text form; only that single
-    row reaches the driver.
+    One aggregate counts rows and the bytes of their text form. No task reads more than
+    ``max_rows + 1`` rows and only widths are moved, so a huge frame is not scanned for it.
     """
     widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
     width = reduce(lambda a, b: a + b, widths)
-    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    some = df.select(width.cast("long").alias("width")).limit(max_rows + 1)
+    rows, size = some.agg(F.count("*"), F.coalesce(F.sum("width"), F.lit(0))).first()
     return rows <= max_rows and size + 16 * rows * len(df.columns) <= max_bytes
 
 
@@ -37,7 +38,7 @@ def join_dimension(
 ) -> DataFrame:
     """Left, inner or left-anti join of facts to a dimension on ``{fact column: dimension column}``.
 
-    A dimension measured to be small is broadcast. A larger one is joined by shuffle. There a key
+    A dimension measured to be small is broadcast. A larger one is joined by a sorted merge. There a key
     (or null) held by a large part of the facts would fill one task: in a batch, adaptive execution
     splits such a partition; a stream has no adaptive execution, so its rows are spread over
     ``salts`` copies of the dimension. All ways give the same rows.
@@ -70,7 +71,7 @@ def join_dimension(
         joined = _salted_join(facts, once, condition, how, salts)
     else:
         # Repeated keys stay in, as an aggregate below the join would keep hot keys from splitting.
-        joined = facts.join(right, condition, how)
+        joined = facts.join(right.hint("merge"), condition, how)
     if how == "left_anti":
         return joined
     return joined.withColumnsRenamed({v: k for k, v in position.items()})

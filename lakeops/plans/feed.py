@@ -8,6 +8,8 @@ takes the newest row of each key; ``complete`` keeps whole sorted results instea
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -16,7 +18,7 @@ from lakeops.functions.temporal import event_time, minute_of_day
 from lakeops.operators.ranking import arrival_schedule
 from lakeops.plans import complaints
 from lakeops.plans.values import COMPLAINT_SCHEMA
-from lakeops.sources.tables import publish_json
+from lakeops.sources.tables import publish_json, read_table
 from lakeops.streaming import runs
 
 def _minute() -> Column:
@@ -71,29 +73,54 @@ def start_query(
     name: str,
     out: str,
     checkpoint: str,
-    patterns: DataFrame | None = None,
+    patterns: DataFrame | Callable[[], DataFrame] | None = None,
     mode: str = "update",
     watermark: str | None = None,
     available_now: bool = False,
+    sink: runs.BatchSink | None = None,
+    every: str | None = None,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Start one query on a stream of messages; its result goes below ``out``."""
-    result = query_result(messages, name, patterns, mode, watermark)
+    """Start one query on a stream of messages; its result goes below ``out``.
+
+    ``sink`` writes elsewhere instead, such as a database (:func:`runs.jdbc_append_sink`,
+    :func:`runs.jdbc_replace_sink`). ``patterns`` as a function is called anew in every micro-batch.
+    ``every`` is the trigger interval; ``fmt`` and ``partition_by`` belong to the archive.
+    """
     if name == "save_to_lake":
-        return runs.archive_stream(result, out, checkpoint, available_now=available_now)
+        if sink is not None:
+            raise ValueError("the archive is written by the file sink alone")
+        result = query_result(messages, name)
+        return runs.archive_stream(result, out, checkpoint, fmt, partition_by, available_now, every)
     if name == "uncommon_crimes":
         mode = "append"
-    return runs.run_stream(
-        result, runs.folder_sink(out), checkpoint, mode, available_now=available_now, name=name
-    )
+    sink = sink or _default_sink(name, out, mode)
+    if callable(patterns):
+        result = complaints.parse_complaints(messages, name)
+        sink = complaints.uncommon_crimes_sink(patterns, sink)
+    else:
+        result = query_result(messages, name, patterns, mode, watermark)
+    return runs.run_stream(result, sink, checkpoint, mode, available_now, every, name)
+
+
+def _default_sink(name: str, out: str, mode: str) -> runs.BatchSink:
+    if mode == "append":
+        return runs.folder_sink(out)
+    _, keys, count = WINDOW_QUERIES[name]
+    if mode == "complete":
+        order = "window_start" if "window_start" in keys else "window_str"
+        return runs.latest_sink(out, [order, *([F.desc(count)] if count else [])])
+    return runs.upsert_sink(out, keys)
 
 
 def read_result(
-    spark: SparkSession, name: str, out: str, schema: StructType, mode: str = "update"
+    spark: SparkSession, name: str, out: str, schema: StructType, mode: str = "update", fmt: str = "parquet"
 ) -> DataFrame:
     """What a query has written so far; ``schema`` is that of :func:`query_result`."""
     if name == "save_to_lake":
-        return spark.read.schema(COMPLAINT_SCHEMA).parquet(out)
-    if name == "uncommon_crimes":
+        return read_table(spark, out, fmt, schema=COMPLAINT_SCHEMA)
+    if name == "uncommon_crimes" or mode == "append":
         return runs.read_appended(spark, out, schema)
     if mode == "complete":
         return runs.read_latest(spark, out, schema)

@@ -156,3 +156,17 @@ def test_borough_job_without_weights_is_unknown_unless_explored(spark):
     assert counts[("WHITE", "BRONX")] > 1300
     assert counts[(None, "UNKNOWN")] > 1300
     assert sum(counts.values()) == 3000
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_a_dimension_judged_large_is_merged(spark, facts, dimension, how):
+    joined = join_dimension(facts, dimension, {"k": "dk"}, how, max_rows=0)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_neighbouring_seeds_and_null_places_draw_apart(spark):
+    df = spark.createDataFrame([(1, None), (None, 1)], "a long, b long")
+    a, b = F.col("a"), F.col("b")
+    got = df.select(uniform(7, a, b, draw=1), uniform(8, a, b), uniform(8, a, b, draw=1)).collect()
+    assert len({value for row in got for value in row}) == 6

@@ -88,7 +88,7 @@ def test_replayed_rows_become_messages_with_a_schedule(spark):
     parsed = feed.parse_complaints(jobs.outgoing_messages(df))
     assert "time_seconds" not in parsed.columns
     assert [r.PD_CD for r in parsed.collect()] == [None, 1.5, None, None]
-    assert rows(jobs.sending_schedule(df)) == sorted([(5, 1434), (1439, None)], key=repr)
+    assert rows(jobs.sending_schedule(df)) == sorted([(5, 1434), (1439, None), (None, None)], key=repr)
 
 
 # Time and place.
@@ -196,7 +196,7 @@ def test_update_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
     def run():
-        sink = runs.folder_sink(out)
+        sink = runs.upsert_sink(out, ["window_str", "boro_nm"])
         runs.run_stream(result, sink, checkpoint, "update", available_now=True).awaitTermination()
         return rows(runs.read_upserted(spark, out, result.schema, ["window_str", "boro_nm"]))
 
@@ -239,7 +239,7 @@ def test_complete_stream_is_sorted_and_keeps_the_last_result(spark, tmp_path):
     events = feed.parse_complaints(stream_text(spark, source))
     result = feed.in_order(feed.most_common_complaints(events), "complaints_count")
     out = str(tmp_path / "out")
-    sink = runs.folder_sink(out)
+    sink = runs.latest_sink(out)
     runs.run_stream(result, sink, str(tmp_path / "c"), "complete", available_now=True).awaitTermination()
     got = feed.in_order(runs.read_latest(spark, out, result.schema), "complaints_count").collect()
     assert [(r.crime, r.complaints_count) for r in got] == [("ARSON", 2), ("ROBBERY", 1)]
@@ -254,7 +254,7 @@ def test_late_row_is_dropped_with_a_watermark_and_counted_without(spark, tmp_pat
         events = feed.parse_complaints(stream_text(spark, source))
         timed = feed.with_event_time(events).select("event_time")
         counts = flatten_window(tumbling_counts(timed, "event_time", "1 hour", watermark=watermark))
-        sink = runs.folder_sink(f"{folder}/out")
+        sink = runs.upsert_sink(f"{folder}/out", ["window_start"])
         runs.run_stream(counts, sink, f"{folder}/c", "update", available_now=True).awaitTermination()
         got = runs.read_upserted(spark, f"{folder}/out", counts.schema, ["window_start"])
         return sorted((r.window_start.hour, r.cnt) for r in got.collect())
@@ -361,3 +361,62 @@ def test_folder_sink_replaces_a_replayed_batch(spark, tmp_path):
     sink(spark.range(5).toDF("n"), 0)
     sink(spark.range(3).toDF("n"), 0)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def folders(path):
+    return sorted(p.name for kind in path.iterdir() for p in kind.iterdir())
+
+
+def test_complete_results_stay_bounded_and_survive_replays(spark, tmp_path):
+    out = tmp_path / "out"
+    sink = runs.latest_sink(str(out))
+    schema = StructType().add("n", "long")
+    for batch in range(7):
+        for _ in range(2):
+            sink(spark.range(batch + 1).toDF("n"), batch)
+        assert runs.read_latest(spark, str(out), schema).count() == batch + 1
+    assert len(folders(out)) == 4
+    # A half-written next result is not used before its mark.
+    runs._stored(spark.range(3).select(F.col("id").alias("n"), F.lit(7).cast("long").alias("upto")), str(out), "whole", 1)
+    assert runs.read_latest(spark, str(out), schema).count() == 7
+    with pytest.raises(ValueError):
+        runs.latest_sink(str(out), keep=1)
+
+
+def test_changes_are_folded_and_survive_replays(spark, tmp_path):
+    out = tmp_path / "out"
+    schema = StructType().add("k", "long").add("n", "long")
+    sink = runs.upsert_sink(str(out), ["k"], fold_every=2)
+    expected = {}
+    for batch in range(11):
+        changed = {batch % 3: batch, None: batch * 10, 100 + batch: 1}
+        expected |= changed
+        for _ in range(2):
+            sink(spark.createDataFrame(list(changed.items()), schema), batch)
+        got = {r.k: r.n for r in runs.read_upserted(spark, str(out), schema, ["k"]).collect()}
+        assert got == expected
+    assert len(folders(out)) <= 4 + 2 + 2
+
+
+def test_feed_takes_sink_trigger_pattern_reader_and_archive_format(spark, tmp_path):
+    source = tmp_path / "in"
+    write_lines(source, "1.json", [complaint(1), complaint(2, BORO_NM="QUEENS")])
+    seen = []
+    jobs.start_query(
+        stream_text(spark, source), "unsafest_boroughs", "", str(tmp_path / "a"),
+        available_now=True, sink=lambda batch, _: seen.extend(r.Borough for r in batch.collect()),
+    ).awaitTermination()
+    assert sorted(seen) == ["BRONX", "QUEENS"]
+    patterns = spark.createDataFrame([("BRONX", "WHITE", "VIOLENT_OFFENSE")], "BOROUGH string, RACE string, OFFENSE_TYPE string")
+    out = str(tmp_path / "rare")
+    jobs.start_query(
+        stream_text(spark, source), "uncommon_crimes", out, str(tmp_path / "b"), lambda: patterns, available_now=True
+    ).awaitTermination()
+    assert [r.CMPLNT_NUM for r in spark.read.parquet(out).collect()] == ["2"]
+    out = str(tmp_path / "lake")
+    jobs.start_query(
+        stream_text(spark, source), "save_to_lake", out, str(tmp_path / "c"),
+        available_now=True, fmt="csv", partition_by=["BORO_NM"],
+    ).awaitTermination()
+    archived = jobs.read_result(spark, "save_to_lake", out, COMPLAINT_SCHEMA, fmt="csv")
+    assert sorted((r.CMPLNT_NUM, r.BORO_NM) for r in archived.collect()) == [("1", "BRONX"), ("2", "QUEENS")]
