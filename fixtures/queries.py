@@ -435,7 +435,7 @@ def complaint_job(
 ) -> DataFrame:
     folder = shared_dir(spark, name)
     messages = complaint_messages(event_stream(spark, sf))
-    schema = feed.query_result(messages, name, patterns, mode, watermark).schema
+    schema = feed.result_schema(messages, name, mode, watermark)
     feed.start_query(
         messages, name, f"{folder}/out", f"{folder}/checkpoint", patterns, mode, watermark, available_now=True
     ).awaitTermination()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeops.functions.coding import classify_by_prefix, normalise_category
 from lakeops.functions.numbers import within_radius
@@ -104,6 +105,19 @@ def location_safety(
     return _stamped(status, "safety")
 
 
+# Columns of :func:`uncommon_crimes`, known without the patterns.
+UNCOMMON_SCHEMA = StructType(
+    [
+        StructField("CMPLNT_NUM", StringType()),
+        StructField("CMPLNT_FR_TM", StringType()),
+        StructField("SUSP_RACE", StringType()),
+        StructField("PD_DESC", StringType()),
+        StructField("BORO_NM", StringType()),
+        StructField("OFFENSE_TYPE", StringType()),
+    ]
+)
+
+
 def uncommon_crimes(
     events: DataFrame,
     patterns: DataFrame,

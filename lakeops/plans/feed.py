@@ -68,6 +68,15 @@ def query_result(
     return complaints.in_order(result, count) if mode == "complete" else result
 
 
+def result_schema(
+    messages: DataFrame, name: str, mode: str = "update", watermark: str | None = None
+) -> StructType:
+    """Schema of :func:`query_result`; no patterns are read or measured for it."""
+    if name == "uncommon_crimes":
+        return complaints.UNCOMMON_SCHEMA
+    return query_result(messages, name, mode=mode, watermark=watermark).schema
+
+
 def start_query(
     messages: DataFrame,
     name: str,
@@ -117,7 +126,7 @@ def _default_sink(name: str, out: str, mode: str) -> runs.BatchSink:
 def read_result(
     spark: SparkSession, name: str, out: str, schema: StructType, mode: str = "update", fmt: str = "parquet"
 ) -> DataFrame:
-    """What a query has written so far; ``schema`` is that of :func:`query_result`."""
+    """What a query has written so far; ``schema`` is :func:`result_schema`."""
     if name == "save_to_lake":
         return read_table(spark, out, fmt, schema=COMPLAINT_SCHEMA)
     if name == "uncommon_crimes" or mode == "append":

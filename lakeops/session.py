@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,12 +36,8 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run, below the folder the cluster shares.
 
-    ``spark.checkpoint.dir`` names that folder. Where it is unset a local session gets a temporary
-    folder; a cluster, whose machines could not all read that, gets an error.
+    ``spark.checkpoint.dir`` names that folder. Where it is unset the warehouse, which a cluster's
+    machines share too, takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        base = tempfile.mkdtemp(prefix="lakeops-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -10,7 +10,7 @@ from lakeops.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         master="local[8]",
@@ -18,6 +18,8 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__sql__sources__parallelPartitionDiscovery__threshold="32",
     )
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

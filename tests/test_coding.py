@@ -1,5 +1,6 @@
 """Decoding, recoding and cleaning on hand-made edge rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeops.functions.coding import (
@@ -167,3 +168,25 @@ def test_offense_table(spark):
     assert got == [*OFFENSE_CLASSES.values(), *others] and len(OFFENSE_CLASSES) == 253
     assert OFFENSE_CLASSES["ASSAULT 3"] == "Violent_Offense"
     assert OFFENSE_CLASSES["LARCENY,GRAND OF AUTO"] == "Property_Offense"
+
+
+# Labels written out, so that a wrong entry of a book cannot pass by agreeing with itself.
+LABELS = [
+    (values.MARITAL_STATUS, {1: "MARRIED", 4: "SEPARATED", 5: "NEVER_MARRIED"}, 5),
+    (values.OFFENSE_TYPE, {1: "VIOLENT_OFFENSE", 3: "DRUG_OFFENSE", 5: "OTHER_OFFENSE"}, 5),
+    (values.VIOLENT_TYPE, {1: "RAPE", 3: "OTHER_VIOLENT_OFFENSE"}, 3),
+    (values.SENTENCE_TYPE, {1: "FLAT", 2: "RANGE"}, 2),
+    (values.VICTIM_SEX, {1: "MALE", 2: "FEMALE"}, 2),
+    (values.FLAT_TYPE, {1: "LIFE", 4: "DEATH", 6: "SPECIFY_AMOUNT_OF_TIME"}, 6),
+    (values.EDUCATION_LEVEL, {1: "ELEMENTARY_FIRST", 9: "HIGH_SCHOOL_NINTH", 16: "COLLEGE_SENIOR",
+                              30: "ATTENDED_SCHOOL_IN_ANOTHER_COUNTRY"}, 19),
+    (values.PARENTAL_STATUS, {1: "Both Parents", 6: "Grandmother", 13: "Someone Else"}, 13),
+    (values.VICTIM_AGE_GROUP, {1: "Under 12 Years", 3: "18 to 24", 6: "55 or Older"}, 6),
+    (values.RACE_FLAGS, {"V0015": "HISPANIC", "V0018": "AMERICAN_INDIAN", "V0021": "OTHER"}, 7),
+]
+
+
+@pytest.mark.parametrize("book, some, size", LABELS)
+def test_labels_of_the_code_books(book, some, size):
+    assert len(book) == size
+    assert {code: book[code] for code in some} == some

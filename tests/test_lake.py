@@ -153,9 +153,21 @@ def test_views_and_sql(spark):
     assert tables.run_sql(spark, "SELECT MAX(n) FROM {mine}", mine=df).first()[0] == 2
 
 
-def test_shared_dir_follows_the_cluster_setting(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    assert not before or shared_dir(spark, "x").startswith(before)
+class _Settings:
+    """Stands for a session with these settings."""
+
+    def __init__(self, **conf):
+        self.conf = {key.replace("__", "."): value for key, value in conf.items()}
+
+
+@pytest.mark.parametrize("checkpoint, base", [("hdfs://x/c/", "hdfs://x/c"), ("", "hdfs://x/w"), (None, "hdfs://x/w")])
+def test_shared_dir_is_the_setting_or_else_the_warehouse(checkpoint, base):
+    session = _Settings(spark__checkpoint__dir=checkpoint, spark__sql__warehouse__dir="hdfs://x/w")
+    assert shared_dir(session, "x").startswith(f"{base}/x-")
+
+
+def test_shared_dir_is_new_each_time(spark):
+    assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
 
 

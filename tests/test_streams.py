@@ -176,6 +176,7 @@ def test_uncommon_crimes_match_and_miss(spark):
     df = spark.createDataFrame([(json.dumps(e),) for e in events], "value string")
     got = feed.uncommon_crimes(feed.parse_complaints(df), patterns)
     assert got.columns == ["CMPLNT_NUM", "CMPLNT_FR_TM", "SUSP_RACE", "PD_DESC", "BORO_NM", "OFFENSE_TYPE"]
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in feed.UNCOMMON_SCHEMA]
     assert [r.CMPLNT_NUM for r in got.orderBy("CMPLNT_NUM").collect()] == ["2", "3", "4", "5", "7"]
     exact = feed.uncommon_crimes(feed.parse_complaints(df), patterns, {"ROBBERY,BANK": "Drug_Offense"})
     assert exact.count() == 7
