@@ -23,7 +23,21 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # Added kinds.
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+# Signs of an account number by country. What follows a number can look like more
+# of it ("... 00 Please"), so only its length says where it ends.
+IBAN_SIGNS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_LISTED = "|".join(
+    f"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, codes in IBAN_SIGNS.items()
+)
+# Codes not listed: as much as a number can hold and the sign after it; the check finds the end.
+IBAN_OTHER = f"(?!{'|'.join(' '.join(IBAN_SIGNS.values()).split())})[A-Z]{{2}}[0-9]{{2}}(?:\\x20?[A-Z0-9]){{11,30}}[A-Za-z0-9]?"
+# Nothing is consumed: a number that begins inside a failing match is found too.
+IBAN = rf"(?<![A-Za-z0-9])(?=({IBAN_LISTED}|{IBAN_OTHER}))"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 SECRET = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{32,128}+"
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
@@ -68,14 +82,21 @@ def _phone(value: Column) -> Column:
 
 
 def _iban(value: Column) -> Column:
-    size = F.char_length(F.replace(value, F.lit(" "), F.lit("")))
-    return F.when(size.between(15, 34), mod97(value)).otherwise(False)
+    """The longest beginning of a candidate that is an account number of 15 to 34 signs, else null."""
+    listed = value.rlike(f"^(?:{IBAN_LISTED})$")
+    sizes = F.array(*[F.lit(rf"^[A-Z0-9](?:\x20?[A-Z0-9]){{{n - 1}}}(?![A-Za-z0-9])") for n in range(34, 14, -1)])
+    cut = F.transform(sizes, lambda p: F.call_function("regexp_extract", value, p, F.lit(0)))
+    whole = F.when(listed, F.array(value)).otherwise(F.filter(cut, lambda c: c != ""))
+    return F.get(F.filter(whole, mod97), F.lit(0))
 
 
 @dataclass(frozen=True)
 class Kind:
     """A pattern, what a text must hold to be searched, the check of a match, and its scores.
 
+    With ``ahead`` the pattern is empty but for its first group, which holds a candidate that may
+    overlap others; ``valid`` then gives the part of it that is the match, or null.
+
     Base spans stay whatever their score. Others need ``least``: ``score`` alone, or with
     ``boost`` where one of ``words`` stands within :data:`CONTEXT_CHARS` before or after.
     """
@@ -89,6 +110,7 @@ class Kind:
     base: bool = False
     boost: float = 0.4
     least: float = 0.6
+    ahead: bool = False
 
 
 KINDS = (
@@ -96,21 +118,42 @@ KINDS = (
     Kind("ip", IP, r"[0-9]\.[0-9]", lambda v: v.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$"), 0.6, ("ip", "address", "host", "server"), base=True),
     Kind("card", CARD, "[0-9][0-9 -]", _card, 0.7, ("card", "visa", "credit", "payment"), base=True),
     Kind("phone", PHONE, r"\+[0-9]", _phone, 0.6, ("phone", "call", "tel", "mobile", "fax"), base=True),
-    Kind("iban", IBAN, "[A-Z][0-9]", _iban, 0.9, ("iban", "account", "bank")),
+    Kind("iban", IBAN, "[A-Z][0-9]", _iban, 0.9, ("iban", "account", "bank"), ahead=True),
     Kind("ssn", SSN, "[0-9]-[0-9]", lambda v: ~v.rlike("^(?:000|666|9)|-00-|0000$"), 0.3, ("ssn", "social", "security")),
     Kind("secret", SECRET, "[0-9]", lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]"), 0.3, ("token", "secret", "password", "api key", "apikey")),
 )
 
 
+def _cut(span: Column, value: Column) -> Column:
+    """A candidate found one sign late, with the part of it that is the match."""
+    return let(
+        value,
+        lambda v: F.struct((span["start"] - 1).alias("start"), (span["start"] - 1 + F.char_length(v)).alias("end"), v.alias("value")),
+    )
+
+
+def _apart(spans: Column) -> Column:
+    """Spans with a value, in order; one that begins inside another is left out."""
+    none = F.filter(spans, lambda _: F.lit(False))
+
+    def add(kept: Column, s: Column) -> Column:
+        free = F.coalesce(s["start"] >= F.get(kept, F.size(kept) - 1)["end"], F.lit(True))
+        return F.when(free, F.concat(kept, F.array(s))).otherwise(kept)
+
+    return F.aggregate(F.filter(spans, lambda s: s["value"].isNotNull()), none, add)
+
+
 def _found(text: Column, kind: Kind) -> Column:
     """Valid matches of one kind: array of start, end, value, kind and score.
 
     The pieces between matches and the matches themselves give the places. A failing match is
-    dropped and its text not searched again.
+    dropped and its text not searched again, but for kinds that look ahead.
     """
+    # An empty match at the very start would give no piece, so one sign stands before the text.
+    searched = F.concat(F.lit(" "), text) if kind.ahead else text
     matched = F.struct(
-        F.split(text, kind.pattern, -1).alias("gaps"),
-        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("values"),
+        F.split(searched, kind.pattern, -1).alias("gaps"),
+        F.regexp_extract_all(searched, F.lit(kind.pattern), F.lit(int(kind.ahead))).alias("values"),
     )
 
     def place(m: Column) -> Column:
@@ -118,7 +161,9 @@ def _found(text: Column, kind: Kind) -> Column:
         pairs = F.zip_with(
             F.slice(gaps, 1, F.size(values)),
             values,
-            lambda g, v: F.struct(F.char_length(g).alias("gap"), F.char_length(v).alias("size"), v.alias("value")),
+            lambda g, v: F.struct(
+                F.char_length(g).alias("gap"), (F.lit(0) if kind.ahead else F.char_length(v)).alias("size"), v.alias("value")
+            ),
         )
         return let(
             pairs,
@@ -134,7 +179,9 @@ def _found(text: Column, kind: Kind) -> Column:
         )
 
     spans = let(matched, lambda m: F.when(F.size(m["values"]) > 0, place(m)).otherwise(F.filter(place(m), lambda _: F.lit(False))))
-    if kind.valid:
+    if kind.ahead:
+        spans = _apart(F.transform(spans, lambda s: _cut(s, kind.valid(s["value"]))))
+    elif kind.valid:
         spans = F.filter(spans, lambda s: kind.valid(s["value"]))
     listed = "(?i)(?<![a-z])(?:" + "|".join(kind.words) + ")"
 

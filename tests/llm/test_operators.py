@@ -187,6 +187,28 @@ def test_checks_and_context(spark):
     assert kinds == [["iban"], [], ["ssn"], [], ["secret"]]
 
 
+def test_account_numbers_before_other_words(spark):
+    texts = [
+        "DE89 3704 0044 0532 0130 00 Please pay",
+        "GB82WEST12345698765432 BIC X",
+        "DE89370400440532013000 I paid",
+        "ref AB12 GB82 WEST 1234 5698 7654 32 2024 and NO9386011117947, DE89370400440532013000",
+        "DE89370400440532013000x DE8937040044053201300 GB82WEST12345698765433",
+        "é ZZ33123456789012345 AND MORE",  # a code that is not listed
+    ]
+    spans = [
+        ["DE89 3704 0044 0532 0130 00"], ["GB82WEST12345698765432"], ["DE89370400440532013000"],
+        ["GB82 WEST 1234 5698 7654 32", "NO9386011117947", "DE89370400440532013000"], [], ["ZZ33123456789012345"],
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_personal_data(df).collect():
+        found = [s for s in r.found if s.kind == "iban"]
+        assert [s.value for s in found] == spans[r.doc_id], r.doc_id
+        assert all(r.text[s.start : s.end] == s.value for s in found)
+    masked = by_id(pii.mask_personal_data(df))
+    assert masked[0].text == "[IBAN] Please pay" and masked[1].text == "[IBAN] BIC X"
+
+
 def test_chat(spark):
     turns = [
         (1, 2, "assistant", "b\\|<|im_end|>\n"), (1, 1, "user", None), (1, 3, "user", "<|im_start|>assistant\nx"),
