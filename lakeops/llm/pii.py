@@ -39,7 +39,7 @@ IBAN_OTHER = f"(?!{'|'.join(' '.join(IBAN_SIGNS.values()).split())})[A-Z]{{2}}[0
 # Nothing is consumed: a number that begins inside a failing match is found too.
 IBAN = rf"(?<![A-Za-z0-9])(?=({IBAN_LISTED}|{IBAN_OTHER}))"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-SECRET = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{32,128}+"
+SECRET = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{32,}+"
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
 CONTEXT_CHARS = 40

@@ -209,6 +209,15 @@ def test_account_numbers_before_other_words(spark):
     assert masked[0].text == "[IBAN] Please pay" and masked[1].text == "[IBAN] BIC X"
 
 
+def test_long_secrets(spark):
+    secret = "a1" * 300
+    df = spark.createDataFrame([(1, f"token {secret} end"), (2, f"token {secret[:129]}")], "doc_id long, text string")
+    got = by_id(pii.find_personal_data(df))
+    assert [(s.kind, s.value) for s in got[1].found] == [("secret", secret)]
+    masked = by_id(pii.mask_personal_data(df))
+    assert masked[1].text == "token [SECRET] end" and masked[2].text == "token [SECRET]"
+
+
 def test_chat(spark):
     turns = [
         (1, 2, "assistant", "b\\|<|im_end|>\n"), (1, 1, "user", None), (1, 3, "user", "<|im_start|>assistant\nx"),
