@@ -252,6 +252,18 @@ def test_pages(spark):
     assert pages.extract_main_text(df.where("page_id < 0")).count() == 0
 
 
+def test_page_attributes(spark):
+    inner = (
+        "<p>a <a href='/hidden-gems'>gem</a> <span title=\"the hidden cost\" data-id='search'>cost</span></p>"
+        "<div class='section-header'>Part</div><div class='related-work alert' id=notice>known</div>"
+        "<div class='comments'>me too</div><div class=newsletter>join</div><p hidden>no</p><div role='search'>find</div>"
+    )
+    html = {1: f"<article>{inner}</article>", 2: f"<main class='has-sidebar'>{inner}</main>", 3: "<p>x <b alt='a hidden gem'>y</b><i class='sidebar'>z</i>"}
+    df = spark.createDataFrame([(i, f"http://a{i}.example", t) for i, t in html.items()], "page_id long, url string, html string")
+    got = by_id(pages.extract_main_text(df), "page_id")
+    assert {i: r.text for i, r in got.items()} == {1: "a gem cost Part known", 2: "a gem cost Part known", 3: "x y"}
+
+
 def test_language_mixture(spark, none):
     sample = [("the cat and the dog of the house " * 5, "en"), ("le chat et le chien de la maison " * 5, "fr")] * 5
     learned = spark.createDataFrame(sample + [(None, "en"), ("x", None)], "text string, lang string")
