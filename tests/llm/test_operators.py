@@ -252,6 +252,36 @@ def test_pages(spark):
     assert pages.extract_main_text(df.where("page_id < 0")).count() == 0
 
 
+MENU = "<ul><li>Home and about and contact</li><li>our offers for you today</li></ul>"
+STORY = "<p>" + " ".join(f"story{i}" for i in range(30)) + "</p>"
+QUOTE = "never was so much owed by so many to so few"
+SITE = {
+    1: MENU + STORY,
+    2: MENU + STORY,  # an exact copy
+    3: f"<h1>Print view</h1>{STORY}",
+    4: f"{MENU}<p>He said {QUOTE} and left</p>",
+    5: f"{MENU}<p>Again: {QUOTE} was said</p>",
+    **{i: f"{MENU}<div>own{i} text{i}</div>" for i in range(6, 12)},
+    12: f"<nav>{MENU}</nav><article>{STORY}</article>",
+}
+SITE_TEXTS = {
+    **{i: STORY[3:-4] for i in (1, 2, 12)}, 3: f"Print view {STORY[3:-4]}", 4: f"He said {QUOTE} and left",
+    5: f"Again: {QUOTE} was said", **{i: f"own{i} text{i}" for i in range(6, 12)},
+}
+
+
+def site(spark, pages_of=SITE):
+    rows = [(i, f"http://h.example/{i}", t) for i, t in pages_of.items()]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_page_copies(spark):
+    assert {i: r.text for i, r in by_id(pages.extract_main_text(site(spark)), "page_id").items()} == SITE_TEXTS
+    few = {i: t for i, t in SITE.items() if i in (1, 2, 3)}
+    got = by_id(pages.extract_main_text(site(spark, few)), "page_id")
+    assert all(STORY[3:-4] in got[i].text for i in few)
+
+
 def test_page_attributes(spark):
     inner = (
         "<p>a <a href='/hidden-gems'>gem</a> <span title=\"the hidden cost\" data-id='search'>cost</span></p>"
