@@ -282,6 +282,13 @@ def test_page_copies(spark):
     assert all(STORY[3:-4] in got[i].text for i in few)
 
 
+@pytest.mark.parametrize("shard_bytes", [100, 700])
+def test_pages_of_split_hosts(spark, shard_bytes):
+    """Texts do not depend on how many shards a host is dealt into."""
+    got = by_id(pages.extract_main_text(site(spark), shard_bytes=shard_bytes), "page_id")
+    assert {i: r.text for i, r in got.items()} == SITE_TEXTS
+
+
 def test_page_attributes(spark):
     inner = (
         "<p>a <a href='/hidden-gems'>gem</a> <span title=\"the hidden cost\" data-id='search'>cost</span></p>"
