@@ -13,10 +13,14 @@ from lakeops.llm.debruijn import remove_repeated_words
 from lakeops.llm.decontaminate import contamination
 from lakeops.llm.jaccard import link_documents
 from lakeops.llm.language import identify
+from lakeops.llm.metric_join import link_vectors
+from lakeops.llm.native import let
 from lakeops.llm.pages import extract_main_text
+from lakeops.llm.periodic import periodic_runs
 from lakeops.llm.pii import KINDS, find_personal_data
 from lakeops.llm.quality import judge
 from lakeops.llm.suffix_dedup import remove_repeats
+from lakeops.llm.whitening import whiten
 from lakeops.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,6 +141,62 @@ def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def planted(text: Column, doc_id: Column) -> Column:
+    """The text, in every tenth document by hash from one of its words on as a repetition."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = F.pmod(g, n)
+        spot = F.struct(a.alias("a"), (F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))).alias("p"))
+
+        def at(i: Column, place: Column) -> Column:
+            word = F.when(i < place["a"], i).otherwise(place["a"] + F.pmod(i - place["a"], place["p"]))
+            return F.get(words, word.cast("int"))
+
+        listed = let(spot, lambda place: F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: at(i, place)))
+        return F.when(n > 0, F.array_join(listed, " ")).otherwise("")
+
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return F.when(h % 10 == 0, let(words, repeated)).otherwise(text)
+
+
+def periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    changed = documents.select("doc_id", planted(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic_runs(changed)
+    # The greatest length first, then the smallest start and period.
+    ranked = F.transform(
+        "runs",
+        lambda r: F.struct(
+            r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period"), r["start"].alias("at"), r["period"].alias("of")
+        ),
+    )
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    best = found.withColumn("best", F.array_max(ranked))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.at").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.of").alias("period"),
+        F.expr("1000 * best.length div best.of").alias("exponent_milli"),
+        digest(lines).alias("runs_sha256"),
+        digest("collapsed").alias("collapsed_sha256"),
+    )
+
+
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": chat_formatting,
     "op2_suffix_dedup": suffix_dedup,
@@ -148,4 +208,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": jaccard_join,
     "op9_bpe": bpe,
     "op10_pii": pii,
+    "op11_embedding_dedup": embedding_dedup,
+    "op12_periodic_runs": periodic_run_detection,
+    "op13_embedding_whitening": embedding_whitening,
 }
