@@ -74,7 +74,7 @@ class Factors:
         length = np.zeros(len(i), np.int64)
         for k in range(len(self.rank) - 1, -1, -1):
             a, b = i - length - (1 << k), j - length - (1 << k)
-            same = (a >= 0) & (self.rank[k][np.maximum(a, 0)] == self.rank[k][b])
+            same = (a >= 0) & (self.rank[k][np.maximum(a, 0)] == self.rank[k][np.maximum(b, 0)])
             length[same] += 1 << k
         return length
 
