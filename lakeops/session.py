@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
@@ -16,9 +17,7 @@ DEFAULTS = {
     # Wide projections make methods the JVM would not compile; above this size Spark splits them.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Window state can outgrow the heap when a stream keeps every window.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }
 
 
