@@ -52,4 +52,27 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(kept, '')) as kept_sha256
         from docs left join kept using (doc_id)
     """,
+    "op11_embedding_dedup": """
+        with recursive usable as (
+            select vec_id, label, e from (select vec_id, label, cast(embedding as double[]) as e from embeddings)
+            where label is not null and len(e) > 0
+                and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+                and len(list_filter(e, lambda x: x <> 0)) > 0
+        ),
+        links as (
+            select a.vec_id as a, b.vec_id as b from usable as a join usable as b
+                on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+                and list_cosine_similarity(a.e, b.e) >= 0.98
+        ),
+        reached as (
+            select a, b from links
+            union
+            select reached.a, links.b from reached join links on reached.b = links.a
+        ),
+        least as (select a, min(b) as b from reached group by a),
+        counted as (select a, count(*) as n from links group by a)
+        select vec_id, coalesce(n, 0)::bigint as n_links, least(vec_id, coalesce(b, vec_id)) as component_id,
+            vec_id <= coalesce(b, vec_id) as kept
+        from embeddings left join least on least.a = vec_id left join counted on counted.a = vec_id
+    """,
 }

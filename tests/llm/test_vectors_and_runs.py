@@ -1,0 +1,305 @@
+"""Vector joins, periodic runs and whitening against plain versions, with edge rows."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from lakeops.llm import metric_join, periodic, queries
+from lakeops.llm.metric_join import link_vectors
+from lakeops.llm.periodic import Factors, WaveletTree, periodic_runs
+from lakeops.llm.whitening import deviations, whiten
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+FAR = 1 << 40
+
+
+def vectors(seed=3, dims=8):
+    """Random vectors, a crowd of near copies, exact copies, ties and unusable rows."""
+    draw = np.random.default_rng(seed)
+    rows = [(i, draw.normal(size=dims).tolist(), i % 2) for i in range(120)]
+    centre = draw.normal(size=dims)
+    rows += [(200 + i, (centre + 0.12 * draw.normal(size=dims)).tolist(), 1) for i in range(150)]
+    rows += [(400 + i, centre.tolist(), 1) for i in range(20)]
+    rows += [(430, (centre * 3).tolist(), 1), (431, (-centre).tolist(), 1), (432, centre.tolist(), 0)]
+    rows += [(500, None, 1), (501, [0.0] * dims, 1), (502, [None] + [1.0] * (dims - 1), 1)]
+    rows += [(503, [math.nan] + [1.0] * (dims - 1), 1), (504, [math.inf] * dims, 1), (505, [], 1)]
+    rows += [(506, centre.tolist(), None), (507, centre.tolist()[:3], 1), (508, centre.tolist()[:3], 1)]
+    rows += [(400, centre.tolist(), 1), (None, (centre * 1e200).tolist(), 1), (None, None, None)]
+    return rows
+
+
+def linked(rows, least):
+    """Links and least reachable id of every row, pair by pair."""
+    ids = [-FAR if i is None else i for i, _, _ in rows]
+    usable = [
+        v is not None and label is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(v)
+        for _, v, label in rows
+    ]
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    unit = [np.array(v) / np.abs(v).max() if ok else None for (_, v, _), ok in zip(rows, usable)]
+    unit = [u / np.linalg.norm(u) if u is not None else None for u in unit]
+    links = [0] * len(rows)
+    for a in range(len(rows)):
+        for b in range(a):
+            if usable[a] and usable[b] and rows[a][2] == rows[b][2] and len(unit[a]) == len(unit[b]):
+                if unit[a] @ unit[b] >= least:
+                    links[a] += 1
+                    links[b] += 1
+                    x, y = find(ids[a]), find(ids[b])
+                    parent[max(x, y)] = min(x, y)
+    given = {i: None if i == -FAR else i for i in ids}
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    return sorted(((given[i], n, given[find(i)], find(i) == i) for i, n in zip(ids, links)), key=key), key
+
+
+@pytest.mark.parametrize(
+    "least, bounds",
+    [
+        (0.98, {}),
+        (0.9, {"one_cell": 4, "pivots": 6, "cell": 10}),
+        (0.98, {"one_cell": 4, "pivots": 12, "cell": 10, "tile": 16}),
+        (0.98, {"one_cell": 1, "pivots": 2, "cell": 8, "tile": 7}),
+    ],
+)
+def test_links_equal_all_pairs(spark, least, bounds):
+    rows = vectors()
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    # Further columns with names the operator uses itself.
+    frame = frame.selectExpr("*", "1 AS id", "'x' AS mark", "2 AS cells", "'y' AS `group`")
+    expected, key = linked(rows, least)
+    found = sorted((tuple(r) for r in link_vectors(frame, least=least, **bounds).collect()), key=key)
+    assert found == expected
+    assert link_vectors(frame.where("false"), **bounds).count() == 0
+
+
+def test_links_of_the_given_table(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    more = frame.where("vec_id < 40").selectExpr("vec_id + 100000 AS vec_id", "transform(embedding, x -> x * 1.01F) AS embedding", "label")
+    both = frame.unionAll(more)
+    rows = [(r[0], [float(x) for x in r[1]], r[2]) for r in both.collect()]
+    expected, key = linked(rows, 0.98)
+    assert sum(n for _, n, _, _ in expected) >= 80
+    assert sorted((tuple(r) for r in link_vectors(both, one_cell=4).collect()), key=key) == expected
+
+
+class Shared:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_cells_hold_all_partners_of_their_vectors():
+    """Linked vectors meet in the home cell of each, and clusters are copied to few other cells."""
+    draw = np.random.default_rng(1)
+    centres = np.eye(16)[:8]
+    vectors = centres[np.arange(400) % 8] + 0.03 * draw.normal(size=(400, 16))
+    pivots = metric_join.unit(vectors[:24])
+    apart = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))
+    batch = pa.RecordBatch.from_pydict({"group": ["g"] * 399 + ["other"], "vector": vectors.tolist()})
+    (out,) = metric_join._assign(Shared({"g": (pivots, apart)}), math.sqrt(0.04))([batch])
+    cells = out.column("cells").to_pylist()
+    unit = metric_join.unit(vectors[:399])
+    linked = np.argwhere(unit @ unit.T >= 0.98)
+    assert len(linked) > 1000
+    for a, b in linked:
+        assert cells[a][0] in cells[b] and cells[b][0] in cells[a]
+    assert cells[399] == [0] and sum(map(len, cells)) < 400 * 12
+
+
+def test_pivots_are_bounded():
+    sizes = [(str(i), 10**9 - i) for i in range(5000)]
+    counts = metric_join.pivot_counts(sizes, 1000, 8, 256)
+    assert 0 < sum(counts.values()) <= metric_join.MAX_PIVOTS
+    assert metric_join.pivot_counts([("a", 256)], 1000, 8, 256) == {}
+
+
+def runs_of(words):
+    """All runs, by comparing the words with themselves at every distance."""
+    n, found = len(words), []
+    for q in range(1, n // 4 + 1):
+        start = 0
+        while start + q < n:
+            end = start
+            while end + q < n and words[end] == words[end + q]:
+                end += 1
+            if end > start and end + q - start >= max(6, 4 * q):
+                found.append((start, end + q - start, q))
+            start = end + 1
+    inside = lambda r, s: s[2] < r[2] and s[0] <= r[0] and s[0] + s[1] >= r[0] + r[1]
+    return sorted((r for r in found if not any(inside(r, s) for s in found)), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def random_text(draw, size):
+    kind = draw.randrange(4)
+    if kind == 0:
+        return "".join(draw.choice("ab ") for _ in range(size))
+    if kind == 1:
+        word = [draw.choice("abc") for _ in range(draw.randrange(1, 12))]
+        return " ".join((word * size)[:size])
+    if kind == 2:
+        parts = []
+        while len(parts) < size:
+            word = [draw.choice("ab") for _ in range(draw.randrange(1, 9))]
+            parts += (word * 9)[: draw.randrange(1, 40)]
+        return "\t".join(parts)
+    return " ".join(str(draw.randrange(30)) for _ in range(size))
+
+
+def test_runs_equal_plain_search(spark):
+    draw = random.Random(5)
+    rows = [(i, random_text(draw, draw.randrange(0, 160))) for i in range(600)]
+    rows += [(1000, None), (1001, ""), (1002, " \n "), (None, "a a a a a a a"), (1003, "é " * 9), (1003, "é " * 9)]
+    rows += [(1004, "x y z " * 3000), (1005, " ".join(map(str, range(20000)))), (1006, "a " * 5), (1007, "a " * 6)]
+    rows += [(1008, "a b a b a b a"), (1009, "a b a b a b a b"), (1010, "w" * 200000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    frame = frame.selectExpr("*", "1 AS id", "2 AS runs", "3 AS words")
+    found = [(r.doc_id, r.n_words, [tuple(x) for x in r.runs], r.collapsed) for r in periodic_runs(frame).collect()]
+    expected = []
+    for i, text in rows:
+        words = WORD.findall(text or "")
+        runs = [(0, 9000, 3)] if i == 1004 else [] if i == 1005 else runs_of(words)
+        expected.append((i, len(words), runs, collapsed(words, runs)))
+    order = lambda r: (r[0] is None, r[0] or 0)
+    assert sorted(found, key=order) == sorted(expected, key=order)
+    assert periodic_runs(frame.where("false")).count() == 0
+    assert sum(len(r[2]) for r in expected) > 300
+
+
+def test_successor_and_prefixes_equal_plain_ones():
+    draw = np.random.default_rng(2)
+    text = np.append(draw.integers(0, 3, 300), 9)
+    factors = Factors(text, 300)
+    assert factors.order.tolist() == sorted(range(301), key=lambda i: text[i:].tolist())
+    low, high = np.sort(draw.integers(0, 302, (2, 500)), axis=0)
+    bound = draw.integers(0, 303, 500)
+    tree = WaveletTree(factors.order)
+    for a, b, x, y in zip(low, high, bound, tree.successor(low, high, bound)):
+        assert y == min((v for v in factors.order[a:b] if v >= x), default=periodic.FAR)
+    i, j = np.sort(draw.integers(0, 301, (2, 500)), axis=0)
+    i, j = i[i < j], j[i < j]
+    for a, b, f, g in zip(i, j, factors.forward(i, j), factors.backward(i, j)):
+        assert f == next(k for k in range(301) if text[a + k] != text[b + k])
+        assert g == next((k for k in range(a) if text[a - 1 - k] != text[b - 1 - k]), a)
+
+
+def test_registered_runs(spark, tmp_path):
+    """The query with its planted repetitions, against Python's crc32 and the plain search."""
+    draw = random.Random(8)
+    rows = [(i, " ".join(str(draw.randrange(200)) for _ in range(draw.randrange(0, 90)))) for i in range(400)]
+    rows += [(400 + i, random_text(draw, 60)) for i in range(100)] + [(900, None), (None, "a b")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in contract.queries()["op12_periodic_runs"](spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows)
+    planted = 0
+    for i, text in rows:
+        words = WORD.findall(text or "")
+        n, h = len(words), zlib.crc32(str(i).encode()) if i is not None else 1
+        if h % 10 == 0 and n:
+            g, planted = h // 10, planted + 1
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[k] if k < a else words[a + (k - a) % p] for k in range(n)]
+        runs = runs_of(words)
+        best = max(runs, key=lambda r: (r[1], -r[0], -r[2]), default=(None,) * 3)
+        row = found[i]
+        assert (row.n_runs, row.start, row.length, row.period) == (len(runs), *best)
+        assert row.exponent_milli == (1000 * best[1] // best[2] if runs else None)
+        lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+        assert row.runs_sha256 == hashlib.sha256(lines.encode()).hexdigest()
+        assert row.collapsed_sha256 == hashlib.sha256(collapsed(words, runs).encode()).hexdigest()
+    assert planted > 20
+
+
+def plain_whitening(x, weight, components):
+    n = int(weight.sum())
+    sums = (x * weight[:, None]).sum(axis=0)
+    centred = x - sums / n
+    covariance = (centred * weight[:, None]).T @ centred / n
+    values, turn = np.linalg.eigh(covariance)
+    values, turn = values[::-1][:components], turn[:, ::-1][:, :components]
+    return n, sums, values, values / np.trace(covariance), centred @ turn / np.sqrt(values)
+
+
+@pytest.mark.parametrize("by_count", [False, True])
+def test_whitening_equals_plain_version(spark, by_count):
+    draw = np.random.default_rng(4)
+    base = draw.normal(size=(150, 6)) * [9, 5, 3, 2, 1, 0.5]
+    rows = [(i, v.tolist()) for i, v in enumerate(base)]
+    rows += [(1000 + i, base[0].tolist()) for i in range(400)] + [(2000, (base[1] * 500).tolist()), (2001, (base[2] * 1e3).tolist())]
+    good = [(i, v) for i, v in rows]
+    rows += [(None, base[3].tolist()), (3000, None), (3001, []), (3002, [None] * 6), (3003, [math.nan] * 6), (3004, [1.0] * 5), (3005, [-math.inf] * 6)]
+    good.append((None, base[3].tolist()))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    frame = frame.selectExpr("*", "1 AS id", "2 AS x", "3 AS size", "4 AS weight")
+    found = whiten(frame, by_count=by_count).collect()
+    grid = np.floor(256 * np.array([v for _, v in good])).astype(np.int64)
+    distinct, place, count = np.unique(grid, axis=0, return_inverse=True, return_counts=True)
+    weight = count if by_count else np.ones(len(distinct), np.int64)
+    n, sums, values, explained, out = plain_whitening(distinct, weight, 4)
+    assert len(found) == 4 * len(good)
+    rows_of = {}
+    for r in found:
+        rows_of.setdefault(r.vec_id, {})[r.component] = r
+    signs = {}
+    for (i, _), k in zip(good, np.ravel(place)):
+        for c in range(4):
+            r = rows_of[i][c + 1]
+            sign = signs.setdefault(c, math.copysign(1, r.whitened * out[k, c]))
+            assert r.whitened == pytest.approx(sign * out[k, c], abs=1e-6)
+            assert r.explained == pytest.approx(explained[c], rel=1e-9) and r.n == n
+            assert int(r.deviation) == sum((n * int(a) - int(s)) ** 2 for a, s in zip(distinct[k], sums))
+            assert r.identity_error < 1e-6
+    assert whiten(frame.where("false")).count() == 0
+
+
+def test_whitening_of_few_or_flat_vectors(spark):
+    def run(rows):
+        return whiten(spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")).collect()
+
+    assert run([[1.0, 2.0]] * 3) == []
+    flat = run([[float(i), 0.0, 0.0] for i in range(5)])
+    assert {r.component for r in flat} == {1} and flat[0].explained == pytest.approx(1)
+    huge = run([[1e300, 1.0], [-1e300, 2.0], [0.0, 3.0]])
+    assert len(huge) >= 3 and all(math.isfinite(r.whitened) for r in huge)
+
+
+def test_deviations_do_not_wrap():
+    x = np.array([[2**40, -5], [3, 7]])
+    n, sums = 2**33, [2**60, 9]
+    assert deviations(x, n, sums) == [sum((n * int(a) - s) ** 2 for a, s in zip(row, sums)) for row in x]
+
+
+def test_registered_whitening(spark):
+    found = contract.queries()["op13_embedding_whitening"](spark, "/root/testdata/sf0.001")
+    assert dict(found.dtypes)["deviation"] == "bigint" and dict(found.dtypes)["n"] == "bigint"
+    data = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").toPandas()
+    grid = np.unique(np.floor(256 * np.stack(data.embedding).astype(float)).astype(int), axis=0)
+    *_, explained, _ = plain_whitening(grid, np.ones(len(grid), int), 4)
+    rows = found.orderBy("vec_id", "component").collect()
+    assert len(rows) == 4 * len(data)
+    assert [r.explained for r in rows[:4]] == pytest.approx(explained.tolist(), rel=1e-9)
+    assert found.agg(F.max("identity_error")).first()[0] < 1e-10
+
+
+def test_planting_leaves_other_rows(spark):
+    frame = spark.createDataFrame([(1, "a  b"), (2, None)], "doc_id long, text string")
+    texts = [r[0] for r in frame.select(queries.planted(F.col("text"), F.col("doc_id"))).collect()]
+    assert texts == ["a  b", None]
