@@ -48,6 +48,84 @@ TIME_ORACLES["range_join_values"] = """
         and p_retailprice < o_totalprice / 100 + o_custkey % 40
 """
 
+
+
+def _sessions(key: str, gap: str, more: str = "") -> str:
+    """Rows sorted by time; a session begins where all earlier reaches have ended."""
+    return f"""
+        with reaches as (select {key}, ts, ts + {gap} as until from events),
+        marked as (
+            select *, case when ts <= max(until) over (
+                partition by {key} order by ts, until rows between unbounded preceding and 1 preceding
+            ) then 0 else 1 end as begins from reaches
+        ),
+        numbered as (
+            select *, sum(begins) over (partition by {key} order by ts, until rows unbounded preceding) as n from marked
+        )
+        select {key}, min(ts) as window_start, max(until) as window_end, count(*) as cnt{more}
+        from numbered group by {key}, n
+    """
+
+
+_IDLE = """(case event_type when 'purchase' then interval 8 hours when 'error' then interval 20 minutes
+    else interval 2 hours end)"""
+TIME_ORACLES["sessions_of_users"] = _sessions("user_id", _IDLE, ", count(*) as ones")
+TIME_ORACLES["sessions_of_types"] = _sessions("event_type", "interval 5 minutes")
+TIME_ORACLES["stream_sessions"] = f"""
+    with found as ({_sessions("user_id", "interval 90 minutes")}),
+    mark as (select max(ts) - interval 1 hour as upto from events)
+    select user_id, window_start, window_end, cnt from found, mark
+    where window_end <= date_trunc('millisecond', upto)
+"""
+
+
+def _grouped(keys: list[str], sets: list[list[str]], source: str, more: str = "") -> str:
+    """One plain GROUP BY per grouping, the bits of left out keys added up by hand."""
+    parts = []
+    for some in sets:
+        bits = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in some)
+        named = ", ".join(k if k in some else f"cast(null as {'bigint' if k == 'yr' else 'varchar'}) as {k}" for k in keys)
+        by = f"group by {', '.join(some)}" if some else "having count(*) > 0"
+        parts.append(f"select {named}, {bits}::bigint as grouping_id, count(*)::bigint as cnt{more} from ({source}) {by}")
+    return " union all ".join(parts)
+
+
+_LINES = "select l_returnflag, l_linestatus, year(l_shipdate) as yr, cast(l_quantity as bigint) as quantity from lineitem"
+_FLAGS = ["l_returnflag", "l_linestatus", "yr"]
+_CUBE = [[k for i, k in enumerate(_FLAGS) if mask >> i & 1] for mask in range(8)]
+TIME_ORACLES["cube_of_lines"] = _grouped(
+    _FLAGS, _CUBE, _LINES.replace("year(l_shipdate)", "case when l_suppkey % 7 <> 0 then year(l_shipdate) end"),
+    ", sum(quantity)::bigint as quantity",
+)
+_ROLL = ["yr", "l_returnflag", "l_linestatus"]
+TIME_ORACLES["rollup_of_lines"] = _grouped(_ROLL, [_ROLL[:n] for n in range(4)], _LINES)
+TIME_ORACLES["chosen_groupings"] = _grouped(_FLAGS, [["l_returnflag", "yr"], ["l_linestatus"], []], _LINES)
+
+_DATED = """
+    select l_orderkey, l_linenumber, l_returnflag, date_diff('day', date '1990-01-01', l_shipdate::date)::int as day,
+        cast(l_quantity as bigint) as quantity from lineitem
+"""
+TIME_ORACLES["running_quantity"] = f"""
+    select *, sum(quantity) over (partition by l_returnflag order by day)::bigint as total from ({_DATED})
+"""
+TIME_ORACLES["quantity_of_a_month"] = f"""
+    select *, sum(quantity) over w::bigint as total, count(*) over w as lines from ({_DATED})
+    window w as (partition by l_returnflag order by day range between 30 preceding and current row)
+"""
+TIME_ORACLES["sketched_users"] = """
+    select ((day(ts) - 1) // 10)::int as third, count(*) as n, count(distinct event_id) as n_ids,
+        true as distinct_near, true as median_near, true as high_near
+    from events group by 1
+"""
+TIME_ORACLES["bucketed_join"] = """
+    select o_orderpriority, count(*) as cnt, sum(l_quantity) as quantity
+    from lineitem join orders on l_orderkey = o_orderkey group by 1
+"""
+TIME_ORACLES["partitioned_read"] = """
+    select o_orderkey, o_orderstatus, year(o_orderdate) as yr from orders
+    where o_orderstatus = 'F' and year(o_orderdate) = 1997
+"""
+
 _PAIRS = """
     select v.event_id as view_id, b.event_id as buy_id
     from events as v join events as b on v.user_id = b.user_id

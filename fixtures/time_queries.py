@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fixtures.inputs import complaint_messages, event_stream, stored, table
 from fixtures.queries import Query, run_to_end
+from lakeops.operators import frames, ranking, sketches
 from lakeops.operators.asof import as_of_join
+from lakeops.operators.cubes import grouping_totals
 from lakeops.operators.joins import join_dimension
 from lakeops.operators.ranges import range_join
-from lakeops.operators import ranking
+from lakeops.operators.sessions import sessions
 from lakeops.plans import feed
 from lakeops.session import ROCKSDB, shared_dir
+from lakeops.sources import layout
 from lakeops.sources.events import read_files
 from lakeops.streaming import runs, windows
 from lakeops.streaming.alerts import running_alerts
@@ -94,6 +97,106 @@ def range_join_values(spark, sf):
     return range_join(parts, bands, "p_retailprice", ("low", "high"), columns=["o_orderkey"]).select("p_partkey", "o_orderkey")
 
 
+def idle_after() -> Column:
+    """How long after an event of each type its session lasts."""
+    return F.expr("case event_type when 'purchase' then '8 hours' when 'error' then '20 minutes' else '2 hours' end")
+
+
+@query
+def sessions_of_users(spark, sf):
+    """Sessions of users, whose events keep them open for different times."""
+    return sessions(user_events(spark, sf).withColumn("one", F.lit(1)), ["user_id"], "ts", idle_after(), sums={"ones": "one"}, slice="6 hours")
+
+
+@query
+def sessions_of_types(spark, sf):
+    """The same for a few keys that hold all rows, which run through many slices."""
+    return sessions(user_events(spark, sf), ["event_type"], "ts", "5 minutes", slice="1 hour")
+
+
+# Groupings, frames, sketches and layouts.
+
+
+def lines(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_linestatus", F.year("l_shipdate").alias("yr"), F.col("l_quantity").cast("long").alias("quantity"), "l_suppkey"
+    )
+
+
+@query
+def cube_of_lines(spark, sf):
+    rows = lines(spark, sf).withColumn("yr", F.when(F.col("l_suppkey") % 7 != 0, F.col("yr")))
+    return grouping_totals(rows, ["l_returnflag", "l_linestatus", "yr"], sums={"quantity": "quantity"})
+
+
+@query
+def rollup_of_lines(spark, sf):
+    return grouping_totals(lines(spark, sf), ["yr", "l_returnflag", "l_linestatus"], "rollup")
+
+
+@query
+def chosen_groupings(spark, sf):
+    sets = [["l_returnflag", "yr"], ["l_linestatus"], [], ["yr", "l_returnflag"]]
+    return grouping_totals(lines(spark, sf), ["l_returnflag", "l_linestatus", "yr"], sets)
+
+
+def dated_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", F.datediff("l_shipdate", F.lit("1990-01-01").cast("date")).alias("day"),
+        F.col("l_quantity").cast("long").alias("quantity"),
+    )
+
+
+@query
+def running_quantity(spark, sf):
+    """Quantity shipped so far under each of three flags, cut into ranges of days."""
+    return frames.running_sums(dated_lines(spark, sf), ["l_returnflag"], "day", "quantity", slice_rows=100, slices=16)
+
+
+@query
+def quantity_of_a_month(spark, sf):
+    """Quantity and lines shipped in the last 30 days under the same flag."""
+    return frames.moving_sums(
+        dated_lines(spark, sf), ["l_returnflag"], "day", "quantity", 30, count="lines", slice_rows=100, slices=16
+    )
+
+
+@query
+def sketched_users(spark, sf):
+    """Users and values of each third of the month from stored daily sketches, and whether they are near enough."""
+    events = table(spark, sf, "events").withColumn("day", F.dayofmonth("ts"))
+    daily = stored(sketches.sketch(events, ["day", "event_type"], "event_id", "value"), "sketches")
+    third = F.floor((F.col("day") - 1) / 10).cast("int").alias("third")
+    found = sketches.estimates(sketches.merged(daily, [third]), {"median": 0.5, "high": 0.9})
+    exact = events.groupBy(third).agg(F.countDistinct("event_id").alias("n_ids"), *[
+        F.array(*[F.percentile("value", share + side * 0.04) for side in (-1, 1)]).alias(name) for name, share in (("m", 0.5), ("h", 0.9))
+    ])
+    return found.join(exact, "third").select(
+        "third", "n", "n_ids",
+        (F.abs(F.col("n_distinct") - F.col("n_ids")) <= 0.06 * F.col("n_ids")).alias("distinct_near"),
+        F.col("median").between(F.col("m")[0], F.col("m")[1]).alias("median_near"),
+        F.col("high").between(F.col("h")[0], F.col("h")[1]).alias("high_near"),
+    )
+
+
+@query
+def bucketed_join(spark, sf):
+    """Lines per order priority from two tables bucketed by order, joined where they lie."""
+    items = layout.write_bucketed(table(spark, sf, "lineitem").select("l_orderkey", "l_quantity"), ["l_orderkey"], 8)
+    orders = layout.write_bucketed(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority"), ["o_orderkey"], 8)
+    joined = spark.table(items).join(spark.table(orders).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.groupBy("o_orderpriority").agg(F.count("*").alias("cnt"), F.sum("l_quantity").alias("quantity"))
+
+
+@query
+def partitioned_read(spark, sf):
+    """Orders of one status and year, from folders by status and year."""
+    path = shared_dir(spark, "by-status")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("yr"))
+    layout.write_partitioned(orders, path, ["o_orderstatus", "yr"])
+    return layout.read_partition(spark, path, o_orderstatus="F", yr=1997).select("o_orderkey", "o_orderstatus", "yr")
+
+
 # Streams.
 
 
@@ -132,6 +235,13 @@ def stream_drop_repeats(spark, sf):
     return run_to_end(spark, first.select("user_id", "event_type"), "append")
 
 
+@query
+def stream_sessions(spark, sf):
+    """Closed sessions of users, from a stream."""
+    counts = windows.session_counts(event_stream(spark, sf), "ts", "90 minutes", ["user_id"], watermark="1 hour")
+    return run_to_end(spark, windows.flatten_window(counts), "append")
+
+
 @query
 def uncommon_events_stream_large(spark, sf):
     """Events on uncommon days, as a stream, with patterns above the broadcast bound (salted)."""

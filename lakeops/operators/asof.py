@@ -7,13 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakeops.operators.joins import join_dimension
-from lakeops.session import shared_dir
-from lakeops.sources.tables import read_table, write_table
-
-# Instants of a key that one task sorts, and time ranges a key with more of them is cut into.
-SLICE_ROWS = 1_000_000
-SLICES = 256
+from lakeops.operators.slices import SLICE, SLICE_ROWS, SLICES, WHOLE, with_slices
 
 
 def as_of_join(
@@ -89,33 +83,18 @@ def _instants(
 
 def _sweep(asked: DataFrame, known: DataFrame, keys: Sequence[str], slice_rows: int, slices: int) -> DataFrame:
     """Asked instants with the last known row (``__found``) up to them."""
-    both = asked.unionAll(known)
-    spark = both.sparkSession
-    folder = shared_dir(spark, "as-of-cuts")
-    shares = F.lit([i / slices for i in range(1, slices)])
-    write_table(
-        both.groupBy(*keys)
-        .agg(F.count("*").alias("__n"), F.percentile_approx("__at", shares, 10 * slices).alias("__cuts"))
-        .where(F.col("__n") > slice_rows)
-        .drop("__n"),
-        folder,
-    )
-    cuts = read_table(spark, folder)
-    order = Window.partitionBy(*keys).orderBy("__at", "__turn")
-    if cuts.isEmpty():
-        return _last_known(both, order)
-    named = {key: f"__cut_{key}" for key in keys}
-    both = join_dimension(both, cuts.withColumnsRenamed(named), {k: v for k, v in named.items()})
-    both = both.withColumn("__slice", F.coalesce(F.size(F.filter("__cuts", lambda c: c < F.col("__at"))), F.lit(0)))
-    # At most one row per key and range is carried on.
-    tails = both.where(F.col("__cuts").isNotNull() & F.col("__known").isNotNull())
-    tails = tails.groupBy(*keys, "__slice").agg(F.max_by("__known", "__at").alias("__known"))
-    following = F.lead("__slice", 1, slices).over(Window.partitionBy(*keys).orderBy("__slice"))
-    carried = tails.withColumn("__to", following).where(F.col("__to") > F.col("__slice"))
-    carried = carried.withColumn("__slice", F.explode(F.sequence(F.col("__slice") + 1, F.col("__to"))))
-    carried = carried.select(*keys, F.col("__known.since").alias("__at"), F.lit(-1).alias("__turn"), "__known", "__slice")
-    rows = both.select(*keys, "__at", "__turn", "__known", "__slice").unionAll(carried)
-    return _last_known(rows, Window.partitionBy(*keys, "__slice").orderBy("__at", "__turn"))
+    both, cut = with_slices(asked.unionAll(known), keys, "__at", slice_rows, slices)
+    if not cut:
+        return _last_known(both, Window.partitionBy(*keys).orderBy("__at", "__turn"))
+    # Of a key that is cut, at most one row per range is carried on.
+    tails = both.where((F.col(SLICE) != WHOLE) & F.col("__known").isNotNull()).groupBy(*keys, SLICE)
+    tails = tails.agg(F.max_by("__known", "__at").alias("__known"))
+    following = F.lead(SLICE, 1, slices - 1).over(Window.partitionBy(*keys).orderBy(SLICE))
+    carried = tails.withColumn("__to", following).where(F.col("__to") > F.col(SLICE))
+    carried = carried.withColumn(SLICE, F.explode(F.sequence(F.col(SLICE) + 1, F.col("__to"))))
+    carried = carried.select(*keys, F.col("__known.since").alias("__at"), F.lit(-1).alias("__turn"), "__known", SLICE)
+    rows = both.select(*keys, "__at", "__turn", "__known", SLICE).unionAll(carried)
+    return _last_known(rows, Window.partitionBy(*keys, SLICE).orderBy("__at", "__turn"))
 
 
 def _last_known(rows: DataFrame, order) -> DataFrame:

@@ -16,6 +16,9 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     # Wide projections make methods the JVM would not compile; above this size Spark splits them.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Rows of one session are put together before they are shuffled.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Window state can outgrow the heap when a stream keeps every window.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }

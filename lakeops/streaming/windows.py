@@ -42,6 +42,26 @@ def tumbling_counts(
     return _as_given(counts, df, time)
 
 
+def session_counts(
+    df: DataFrame,
+    time: str,
+    gap: str | Column,
+    keys: Sequence[str] = (),
+    count_name: str = "cnt",
+    watermark: str | None = None,
+) -> DataFrame:
+    """Rows per session and keys: rows whose times, each with the ``gap`` behind it, touch or overlap.
+
+    The gap is an interval, or a column that gives each row its own. Rows without a time, or with a gap
+    that is null or not positive, belong to no session. For streams, in ``append`` mode (which
+    needs a watermark) or ``complete`` mode; for whole tables with hot keys see
+    :func:`lakeops.operators.sessions.sessions`.
+    """
+    timed = with_watermark(df, time, watermark)
+    counts = timed.groupBy(F.session_window(time, gap).alias("window"), *keys).agg(F.count("*").alias(count_name))
+    return _as_given(counts, df, time)
+
+
 def window_status(
     df: DataFrame,
     time: str,
