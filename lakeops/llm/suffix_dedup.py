@@ -21,6 +21,9 @@ from lakeops.llm.scan import byte_hash, chunks, covered, paths, signed
 LENGTH = 200
 GRAM = 64
 ARRAY_BYTES = 1 << 20
+# Text a task hashes at once; each byte takes some 120 more in arrays.
+SCAN_BYTES = 1 << 19
+STEP = 1 << 16
 # Different runs around one k-gram that one suffix array takes together (6 MB of text, as a run has
 # at most 2 * LENGTH - GRAM bytes); more are matched by hash.
 CROWD = (6 << 20) // (2 * LENGTH - GRAM)
@@ -65,12 +68,13 @@ def smaller_neighbours(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(order)
     before, after = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
     stack: list[int] = []
-    for place in order.tolist():
-        while stack and stack[-1] > place:
-            after[stack.pop()] = place
-        if stack:
-            before[place] = stack[-1]
-        stack.append(place)
+    for at in range(0, n, STEP):  # a list of all places would take four times the array
+        for place in order[at : at + STEP].tolist():
+            while stack and stack[-1] > place:
+                after[stack.pop()] = place
+            if stack:
+                before[place] = stack[-1]
+            stack.append(place)
     return before, after
 
 
@@ -92,7 +96,7 @@ def earlier_matches(text: np.ndarray, starts: np.ndarray, length: int) -> np.nda
 
 def _find_paths(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, at in chunks(batches, "text"):
+        for rows, buf, at in chunks(batches, "text", SCAN_BYTES):
             hashed = byte_hash(buf)
             grams = hashed.grams(gram)
             first, last, anchor = paths(grams, at, length, gram)
@@ -232,6 +236,7 @@ def repeated_spans(
     ``docs`` has ``id`` and ``text`` (see :func:`as_documents`).
     """
     marks = docs.mapInArrow(_find_paths(length, gram), "gram long, path long, id long, start int, n int")
+    marks = kept_table(marks, "suffix-marks")
     twice = marks.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
     known = kept_table(marks.join(twice, "gram", "left_semi"), "suffix-runs")
     where = F.struct("id", "start", "n")
