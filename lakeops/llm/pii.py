@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeops.llm.native import let, running_starts
+from lakeops.llm.native import PAGE, let, pages_of, part, running_starts, scan, unused
 
 # The base kinds and their patterns. Look-behinds and possessive repeats only
 # spare the regular expression engine work; what matches is the plain pattern beside each.
@@ -134,13 +134,16 @@ def _cut(span: Column, value: Column) -> Column:
 
 def _apart(spans: Column) -> Column:
     """Spans with a value, in order; one that begins inside another is left out."""
-    none = F.filter(spans, lambda _: F.lit(False))
 
-    def add(kept: Column, s: Column) -> Column:
-        free = F.coalesce(s["start"] >= F.get(kept, F.size(kept) - 1)["end"], F.lit(True))
-        return F.when(free, F.concat(kept, F.array(s))).otherwise(kept)
+    def add(end: Column, s: Column) -> Column:
+        free = s["start"] >= end
+        kept = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+        return F.struct(
+            F.when(free, s["end"]).otherwise(end).alias("state"), F.when(free, kept).otherwise(F.slice(kept, 1, 0)).alias("added")
+        )
 
-    return F.aggregate(F.filter(spans, lambda s: s["value"].isNotNull()), none, add)
+    valid = F.filter(spans, lambda s: s["value"].isNotNull())
+    return scan(valid, F.lit(-1).cast("long"), add, "array<struct<start: long, end: long, value: string>>")
 
 
 def _found(text: Column, kind: Kind) -> Column:
@@ -185,11 +188,10 @@ def _found(text: Column, kind: Kind) -> Column:
         spans = F.filter(spans, lambda s: kind.valid(s["value"]))
     listed = "(?i)(?<![a-z])(?:" + "|".join(kind.words) + ")"
 
-    def scored(s: Column) -> Column:
-        around = F.substring(
-            text,
-            (F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)) + 1).cast("int"),
-            (F.least(s["start"], F.lit(CONTEXT_CHARS)) + s["end"] - s["start"] + CONTEXT_CHARS).cast("int"),
+    def scored(s: Column, pages: Column) -> Column:
+        start, end = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)), s["end"] + CONTEXT_CHARS
+        around = F.when(F.size(pages) > 0, part(pages, start, end)).otherwise(
+            F.substring(text, (start + 1).cast("int"), (end - start).cast("int"))
         )
         score = F.when(around.rlike(listed), F.least(F.lit(1.0), F.lit(kind.score + kind.boost))).otherwise(F.lit(kind.score))
         return F.struct(
@@ -201,7 +203,9 @@ def _found(text: Column, kind: Kind) -> Column:
             score.alias("score"),
         )
 
-    out = F.transform(spans, scored)
+    # A text of few characters is cut as it is.
+    pages = F.when(F.char_length(text) > 4 * PAGE, pages_of(text)).otherwise(F.array().cast("array<string>"))
+    out = let(F.struct(spans.alias("spans"), pages.alias("pages")), lambda m: F.transform(m["spans"], lambda s: scored(s, m["pages"])))
     if not kind.base:
         out = F.filter(out, lambda s: s["score"] >= kind.least)
     return F.when(text.rlike(kind.hint), out).otherwise(F.array())
@@ -219,21 +223,24 @@ def personal_spans(text: Column) -> Column:
 def masked_text(text: Column, found: Column, mask: str = "[{}]") -> Column:
     """Text with each span replaced by its kind; of overlapping spans the first stands and covers
     the others."""
-    before, after = (F.lit(part) for part in mask.split("{}"))
+    before, after = (F.lit(side) for side in mask.split("{}"))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["end"]
-        between = F.substring(text, (acc["end"] + 1).cast("int"), (s["start"] - acc["end"]).cast("int"))
-        part = F.concat(acc["text"], between, before, F.upper(s["kind"]), after)
+    def step(end: Column, s: Column) -> Column:
+        """The text between spans by its ends, and what stands for a span that no earlier one covers."""
+        fresh = F.array(F.struct(end.alias("a"), s["start"].alias("b"), s["kind"].alias("kind")))
         return F.struct(
-            F.greatest(acc["end"], s["end"]).alias("end"), F.when(fresh, part).otherwise(acc["text"]).alias("text")
+            F.greatest(end, s["end"]).alias("state"),
+            F.when(s["start"] >= end, fresh).otherwise(F.slice(fresh, 1, 0)).alias("added"),
         )
 
-    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit("").alias("text"))
-    masked = let(
-        F.aggregate(found, start, step),
-        lambda acc: F.concat(acc["text"], F.substring(text, (acc["end"] + 1).cast("int"), F.char_length(text))),
-    )
+    pieces = scan(found, F.lit(0).cast("long"), step, "array<struct<a: long, b: long, kind: string>>")
+    last = F.array_max(F.transform(found, lambda s: s["end"]))
+
+    def filled(m: Column) -> Column:
+        listed = F.transform(m["pieces"], lambda p: F.concat(part(m["pages"], p["a"], p["b"]), before, F.upper(p["kind"]), after))
+        return F.concat(F.array_join(listed, ""), F.substring(text, (last + 1).cast("int"), F.char_length(text)))
+
+    masked = let(F.struct(pieces.alias("pieces"), pages_of(text).alias("pages")), filled)
     return F.when(F.size(found) > 0, masked).otherwise(text)
 
 
@@ -252,8 +259,13 @@ def find_personal_data(documents: DataFrame, id_name: str = "doc_id", text: str
 
 
 def mask_personal_data(documents: DataFrame, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, and their personal data masked; a null text stays null."""
-    name = f"`{text}`"
+    """The rows, with all their columns, and their personal data masked.
+
+    One row per input row, repeated ones included; a null text stays null and an empty one empty.
+    Overlapping finds: see :func:`masked_text`. Texts of any length are masked whole. An empty
+    table gives an empty result; columns may have any names.
+    """
+    name, spans_name = f"`{text}`", unused(documents.columns, "__found")
     spans = F.explode(F.array(personal_spans(F.coalesce(F.col(name).cast("string"), F.lit("")))))
-    found = documents.select("*", spans.alias("__found"))
-    return found.withColumn(text, masked_text(F.col(name), F.col("__found"))).drop("__found")
+    found = documents.select("*", spans.alias(spans_name))
+    return found.withColumn(text, masked_text(F.col(name), F.col(spans_name))).drop(spans_name)
