@@ -6,23 +6,31 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def _width(field: StructField) -> Column:
+    """Bytes of a value: as they are of text, as text of nested values, a fixed number of others."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+        return F.coalesce(F.octet_length(column.cast("string")), F.lit(0))
+    return F.lit(8)
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
     """Whether a batch frame is measured to be small enough to send to every executor.
 
-    One aggregate counts rows and the bytes of their text form. No task reads more than
-    ``max_rows + 1`` rows and only widths are moved, so a huge frame is not scanned for it.
+    One aggregate counts rows and their bytes in all tasks side by side; only its sums are moved.
     """
-    widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
-    width = reduce(lambda a, b: a + b, widths)
-    some = df.select(width.cast("long").alias("width")).limit(max_rows + 1)
-    rows, size = some.agg(F.count("*"), F.coalesce(F.sum("width"), F.lit(0))).first()
+    width = reduce(lambda a, b: a + b, map(_width, df.schema.fields), F.lit(0))
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
     return rows <= max_rows and size + 16 * rows * len(df.columns) <= max_bytes
 
 

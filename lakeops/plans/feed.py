@@ -94,7 +94,8 @@ def start_query(
     """Start one query on a stream of messages; its result goes below ``out``.
 
     ``sink`` writes elsewhere instead, such as a database (:func:`runs.jdbc_append_sink`,
-    :func:`runs.jdbc_replace_sink`). ``patterns`` as a function is called anew in every micro-batch.
+    :func:`runs.jdbc_replace_sink`). ``patterns`` as a function is called anew in every micro-batch;
+    as a frame they are measured once, and the stream keeps the way of joining chosen at its start.
     ``every`` is the trigger interval; ``fmt`` and ``partition_by`` belong to the archive.
     """
     if name == "save_to_lake":

@@ -79,12 +79,18 @@ OFFENSES = [
 ]
 
 
-def test_offense_rules(spark):
+def test_offense_classes(spark):
     df = spark.createDataFrame([(text,) for text, _ in OFFENSES], "text string")
-    got = column(df, classify_by_prefix(F.col("text"), values.OFFENSE_RULES))
+    got = column(df, normalise_category(F.col("text"), OFFENSE_CLASSES))
     assert list(zip([text for text, _ in OFFENSES], got)) == OFFENSES
 
 
+def test_first_line_with_a_prefix_wins(spark):
+    rules = (("exception", ("LARCENY,BY",)), ("theft", ("LARCENY", "THEFT")), ("other", ("THE", "LAR")))
+    df = spark.createDataFrame([("LARCENY,BY X",), ("LARCENY,X",), ("THEFT",), ("THESIS",), ("X LARCENY",), (None,)], "text string")
+    assert column(df, classify_by_prefix(F.col("text"), rules)) == ["exception", "theft", "theft", "other", "X LARCENY", None]
+
+
 def test_prefix_characters_are_literal(spark):
     df = spark.createDataFrame([("NXYXCX TRANSIT",), ("(null)x",)], "text string")
     rules = (("hit", ("N.Y.C.", "(null)")),)
