@@ -445,6 +445,14 @@ MAPPED = f"""
     from ({draws(f"({SURVEY})", "RESPONDENT", 11)}) as s left join ({WEIGHTS}) as w
         on s.OFFENSE_TYPE = w.OFFENSE_TYPE and s.RACE = w.RACE
 """
+_steps = ["coalesce(w0, 0) / 100"]
+for _i in range(1, 6):
+    _steps.append(f"({_steps[-1]} + coalesce(w{_i}, 0)) / 100")
+ORACLES["add_borough_compat"] = f"""
+    select s.OFFENSE_TYPE, s.RACE, {wheel(list(values.BOROUGHS), [" + ".join(_steps[: i + 1]) for i in range(6)])} as BOROUGH
+    from ({draws(f"({SURVEY})", "RESPONDENT", 11)}) as s left join ({WEIGHTS}) as w
+        on s.OFFENSE_TYPE = w.OFFENSE_TYPE and s.RACE = w.RACE
+"""
 PATTERNS = _patterns(
     MAPPED, "BOROUGH", "RACE, OFFENSE_TYPE", 4, "BOROUGH, RACE, OFFENSE_TYPE, ranking"
 )

@@ -416,6 +416,14 @@ def add_borough(spark, sf):
     return mapped_boroughs(spark, sf)
 
 
+@query
+def add_borough_compat(spark, sf):
+    """The same with the weights added up as the rebuilt pipeline did."""
+    decoded = survey(spark, sf)
+    weights = stored(borough_weights(decoded), "weights")
+    return survey_plans.add_borough(decoded, weights, 11, ["RESPONDENT"], compat=True)
+
+
 @query
 def common_patterns(spark, sf):
     return survey_plans.common_patterns(mapped_boroughs(spark, sf))
