@@ -41,35 +41,46 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def kept_documents(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``id`` is among ``ids``.
+class Bitmap:
+    """A bitmap of fixed size, one hashed bit per id, that goes to all tasks.
 
-    A bitmap of fixed size (one hashed bit per id) goes to all tasks and drops nearly all other
-    rows before the exchange; the join after it is exact, however full the bitmap is.
+    It drops nearly all other rows before an exchange; the join after it is exact, however full the
+    bitmap is. ``place`` is the column that :meth:`pick` takes out again.
     """
-    place = F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS))
-    words = (
-        ids.select(place.alias("place"))
-        .selectExpr("cast(place div 32 as int) AS word", "shiftleft(1L, cast(place % 32 as int)) AS bit")
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .collect()  # at most BITMAP_BITS / 32 rows
-    )
-    table = np.zeros(BITMAP_BITS // 32, np.uint32)
-    for word, bits in words:
-        table[word] = bits
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-    columns = docs.columns
-    schema = docs.schema
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    place = "__place"
+
+    def __init__(self, ids: DataFrame):
+        at = F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS))
+        words = (
+            ids.select(at.alias("place"))
+            .selectExpr("cast(place div 32 as int) AS word", "shiftleft(1L, cast(place % 32 as int)) AS bit")
+            .groupBy("word")
+            .agg(F.bit_or("bit").alias("bits"))
+            .collect()  # at most BITMAP_BITS / 32 rows
+        )
+        table = np.zeros(BITMAP_BITS // 32, np.uint32)
+        for word, bits in words:
+            table[word] = bits
+        self.shared = ids.sparkSession.sparkContext.broadcast(table)
+
+    @classmethod
+    def placed(cls, docs: DataFrame) -> DataFrame:
+        return docs.withColumn(cls.place, F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS)).cast("long"))
+
+    def pick(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of batches with places the rows whose bit is set, as they were given."""
         for batch in batches:
-            at = batch.column(len(columns)).to_numpy()
-            hit = (shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 > 0
-            found = batch.filter(pa.array(hit))
-            yield found.select(columns)
+            *columns, at = batch.columns
+            at = at.to_numpy()
+            hit = (self.shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 > 0
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1]).filter(pa.array(hit))
 
-    picked = docs.withColumn("__place", place.cast("long")).mapInArrow(pick, schema)
+
+def kept_documents(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``id`` is among ``ids``, most others dropped before the exchange."""
+    bitmap = Bitmap(ids)
+    picked = Bitmap.placed(docs).mapInArrow(bitmap.pick, docs.schema)
     return picked.join(ids.select("id").distinct(), "id", "left_semi")
 
 

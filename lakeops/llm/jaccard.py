@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeops.llm.common import as_documents, components, kept_documents, kept_table, named
+from lakeops.llm.common import Bitmap, as_documents, components, kept_documents, kept_table, named
 from lakeops.llm.scan import NOT_SPACE, U64, RangeHash, Words, chunks, mix, signed
 
 GROUPS = 64
@@ -63,16 +63,32 @@ def _count_shingles(k: int):
     return run
 
 
-def _profile(k: int, percent: int, rarity):
-    """Size, digest, group counts and necessary rarest shingles of each text's set."""
+def _digests(tokens: np.ndarray, first: np.ndarray) -> list[pa.Array]:
+    """Two sums over each set, equal for equal sets."""
+    sums = [np.concatenate([np.zeros(1, U64), np.cumsum(x)]) for x in (tokens, mix(tokens ^ U64(0x5851F42D4C957F2D)))]
+    return [signed(s[first[1:]] - s[first[:-1]]) for s in sums]
+
+
+def _sizes(k: int):
+    """Size and digest of each text's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, at in chunks(batches, "text"):
+            tokens, first = shingles(buf, at, k)
+            columns = [rows.column("id"), pa.array(np.diff(first)), *_digests(tokens, first)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "s1", "s2"])
+
+    return run
+
+
+def _profile(k: int, percent: int, rarity, bitmap: Bitmap):
+    """Size, digest, group counts and necessary rarest shingles of the sets of texts in the bitmap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, at in chunks(bitmap.pick(batches), "text"):
             tokens, first = shingles(buf, at, k)
             n = np.diff(first)
             doc = np.repeat(np.arange(len(n)), n)
-            sums = [np.concatenate([np.zeros(1, U64), np.cumsum(x)]) for x in (tokens, mix(tokens ^ U64(0x5851F42D4C957F2D)))]
-            digests = [signed(s[first[1:]] - s[first[:-1]]) for s in sums]
             groups = np.bincount(doc * GROUPS + (tokens & U64(GROUPS - 1)).astype(np.int64), minlength=len(n) * GROUPS)
             often = rarity.value[(tokens >> U64(64 - RARITY_BITS)).astype(np.int64)]
             order = np.lexsort((tokens, often, doc))
@@ -85,7 +101,7 @@ def _profile(k: int, percent: int, rarity):
                 [
                     rows.column("id"),
                     pa.array(n),
-                    *digests,
+                    *_digests(tokens, first),
                     pa.ListArray.from_arrays(steps, pa.array(groups.astype(np.int32))),
                     pa.ListArray.from_arrays(pa.array(ends), signed(prefix)),
                 ],
@@ -299,15 +315,13 @@ def link_documents(
     often = np.zeros(1 << RARITY_BITS, np.int64)
     often[counted.column("bucket").to_numpy()] = counted.column("n").to_numpy()
     rarity = spark.sparkContext.broadcast(often)
-    profiles = kept_table(
-        docs.mapInArrow(
-            _profile(k, percent, rarity),
-            "id long, n long, s1 long, s2 long, groups array<int>, prefix array<long>",
-        ),
-        "jaccard-profiles",
-    )
+    sizes = kept_table(docs.mapInArrow(_sizes(k), "id long, n long, s1 long, s2 long"), "jaccard-sizes")
     classes = kept_table(
-        profiles.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("id")), "jaccard-classes"
+        sizes.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("id")), "jaccard-classes"
+    )
+    profiles = Bitmap.placed(docs).mapInArrow(
+        _profile(k, percent, rarity, Bitmap(classes)),
+        "id long, n long, s1 long, s2 long, groups array<int>, prefix array<long>",
     )
     points = kept_table(
         profiles.join(classes, ["id", "n", "s1", "s2"]).dropDuplicates(["id"]).select("id", "n", "groups", "prefix"),
@@ -315,12 +329,9 @@ def link_documents(
     )
     vectors = points.select("id", "n", "groups")
     dealt = points.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = (
-        dealt.groupBy("token")
-        .agg(F.min(F.struct("id", "n", "pos")).alias("head"), F.count("*").alias("members"))
-        .where("members > 1")
-    )
+    shared = dealt.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
     met = kept_table(dealt.join(shared, "token"), "jaccard-blocks")
+    heads = met.groupBy("token").agg(F.min(F.struct("id", "n", "pos")).alias("head"))
 
     left = vectors.select(F.col("id").alias("a"), F.col("groups").alias("ga"))
     right = vectors.select(F.col("id").alias("b"), F.col("groups").alias("gb"))
@@ -328,7 +339,8 @@ def link_documents(
     rest = F.least(head["n"] - head["pos"], F.col("n") - F.col("pos"))
     least = F.aggregate(F.zip_with("ga", "gb", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
     nearest = (
-        met.where((F.col("id") != head["id"]) & _fits(percent, head["n"], F.col("n"), rest))
+        met.join(heads, "token")
+        .where((F.col("id") != head["id"]) & _fits(percent, head["n"], F.col("n"), rest))
         .select(head["id"].alias("a"), F.col("id").alias("b"), head["n"].alias("na"), F.col("n").alias("nb"))
         .distinct()
         .join(left, "a")
@@ -376,6 +388,6 @@ def link_documents(
         classes.join(roots, "id", "left")
         .select("n", "s1", "s2", F.coalesce("root", "id").alias("root"))
     )
-    out = profiles.select("id", "n", "s1", "s2").join(members, ["n", "s1", "s2"], "left")
+    out = sizes.join(members, ["n", "s1", "s2"], "left")
     out = out.withColumn("root", F.coalesce("root", "id"))
     return out.select(named(), F.col("n").alias("n_shingles"), named("root", "component_id"))
