@@ -1,5 +1,8 @@
 """Every registered query against its SQL, on the smallest tables unless TEST_SF_DIR is set."""
 
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as contract
@@ -28,3 +31,9 @@ def test_entry(spark):
     result = contract.entry(spark)
     assert result.columns[:2] == ["c_nationkey", "c_mktsegment"]
     assert result.count() > 0
+
+
+def test_queries_load_without_what_the_text_part_needs():
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=contract.__file__.rpartition("/")[0], check=True)
+    assert found.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))]
