@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -287,6 +288,52 @@ def test_pages_of_split_hosts(spark, shard_bytes):
     assert {i: r.text for i, r in got.items()} == SITE_TEXTS
 
 
+def test_suffix_array_and_common_prefixes():
+    draw = np.random.default_rng(5)
+    for n in (0, 1, 2, 3, 40, 150):
+        for letters in (1, 2, 5):
+            symbols = np.append(draw.integers(0, letters, n), 9)
+            order, common = pages.suffix_array(symbols)
+            tails = sorted(range(n + 1), key=lambda i: symbols[i:].tolist())
+            assert order.tolist() == tails
+            for i in range(1, n + 1):
+                a, b = symbols[tails[i - 1] :].tolist(), symbols[tails[i] :].tolist()
+                assert common[i] == next(k for k in range(n + 1) if a[k] != b[k])
+
+
+def test_shared_places_against_all_substrings():
+    draw = np.random.default_rng(6)
+    for case in range(40):
+        texts = [draw.integers(0, 2 + case % 3, draw.integers(0, 25)).tolist() for _ in range(6)]
+        content = np.array([0, 1, 1, 2, 3, 4])
+        length, needed = 3 + case % 4, 2 + case % 2
+        expected = []
+        for own in texts:
+            marks = [False] * len(own)
+            for i in range(len(own)):
+                for j in range(i + length, len(own) + 1):
+                    holders = {c for c, t in zip(content, texts) if any(t[k : k + j - i] == own[i:j] for k in range(len(t)))}
+                    if len(holders) >= needed:
+                        marks[i:j] = [True] * (j - i)
+            expected += marks
+        page = np.repeat(np.arange(6), [len(t) for t in texts])
+        symbols = np.array([x for t in texts for x in t], np.int64)
+        assert pages.shared_places(symbols, page, length, content, needed).tolist() == expected
+
+
+def test_menus_of_a_host_do_not_outweigh_marked_parts(spark):
+    """Only what the suffix array leaves of open text is weighed against articles that may be teasers."""
+    menu = "<div>" + " ".join(f"menu{i}" for i in range(40)) + "</div>"
+    own = "<div>" + " ".join(f"body{i}" for i in range(30)) + "</div>"
+    html = {i: f"{menu}<article>part{i} one</article><article>part{i} two</article>" for i in range(6)}
+    html[6] = f"{menu}{own}<article>card6 one</article><article>card6 two</article>"
+    html[7] = f"{menu}<article class=card>all of {7}</article>"
+    for size in (100, 16 << 20):
+        got = by_id(pages.extract_main_text(site(spark, html), shard_bytes=size), "page_id")
+        assert {i: got[i].text for i in range(6)} == {i: f"part{i} one part{i} two" for i in range(6)}
+        assert got[6].text == own[5:-6] and got[7].text == "all of 7"
+
+
 def test_page_attributes(spark):
     inner = (
         "<p>a <a href='/hidden-gems'>gem</a> <span title=\"the hidden cost\" data-id='search'>cost</span></p>"
