@@ -169,6 +169,33 @@ def test_range_join_of_a_hot_bucket(spark):
     assert held_events(spark, SF_DIR, max_rows=0).count() == held_events(spark, SF_DIR).count()
 
 
+@pytest.mark.parametrize("max_rows", [0, 10**6])
+@pytest.mark.parametrize("keyed", [True, False])
+def test_range_join_in_blocks(spark, keyed, max_rows):
+    """Buckets cut into blocks give the same rows, exact copies and null keys included."""
+    ranges, points, a, b = bands(spark, 5)
+    ranges, points = ranges + ranges[:40], points + points[:60]
+    a, b = a.unionAll(a.limit(0)), b.unionAll(b.limit(0))
+    a, b = spark.createDataFrame(ranges, a.schema).repartition(2), spark.createDataFrame(points, b.schema).repartition(3)
+    options = {"on": {"k": "rk"} if keyed else None, "columns": ["r"], "max_rows": max_rows, "task_pairs": 50, "block_side": 4}
+    found = range_join(b, a, "x", ("low", "high"), **options)
+    assert list(map(repr, ordered(found.collect()))) == list(map(repr, ordered(holding(ranges, points, keyed))))
+    assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)
+    wide = range_join(b.withColumn("k2", F.col("k")), a.withColumn("rk", F.col("rk").cast("char(1)")), "x", ("low", "high"), **options | {"on": {"k": "rk"}})
+    assert wide.count() == len(list(holding(ranges, points, True)))
+
+
+@pytest.mark.parametrize("max_rows", [0, 10**6])
+def test_range_join_deals_pairs_to_tasks(spark, max_rows):
+    """Few rows that all meet in one bucket are joined by many tasks."""
+    points = spark.range(0, 3000, 1, 1).select("id", F.lit(5.0).alias("x"))
+    ranges = spark.range(0, 400, 1, 1).select(F.col("id").alias("r"), F.lit(4.0).alias("low"), (F.lit(6.0) + F.col("id") / 1000).alias("high"))
+    found = range_join(points, ranges, "x", ("low", "high"), columns=["r"], max_rows=max_rows, task_pairs=20_000, block_side=100)
+    tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 3000 * 400 and len(tasks) > 30 and max(tasks) < 200_000
+    assert found.distinct().count() == 3000 * 400
+
+
 # Streams.
 
 
