@@ -126,6 +126,25 @@ def test_frames_cut_a_hot_key(spark):
     assert "__slice" in plan_of(moving)
 
 
+def test_frames_leave_rows_of_equal_order_where_they_are(spark):
+    """Frames run over one sum for each place in order; a day of many rows never fills a task."""
+    frame = spark.range(0, 40_000, 1, 8).select(F.lit("hot").alias("k"), (F.col("id") % 2).alias("t"), F.lit(1).alias("v"), F.lit("x").alias("total"))
+    for found in (
+        frames.running_sums(frame, ["k"], "t", "v", slice_rows=1, slices=4),
+        frames.moving_sums(frame, ["k"], "t", "v", 1, count="n", slice_rows=1, slices=4),
+    ):
+        assert found.columns[:4] == ["k", "t", "v", "total"] and found.where("total = 20000 * (t + 1)").count() == 40_000
+        tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(tasks) == 40_000 and max(tasks) <= 10_000
+
+
+def test_frames_keep_types_of_sums(spark):
+    rows = spark.range(300).select((F.col("id") % 3).alias("k"), (F.col("id") % 7).alias("t"), (F.col("id") / 4).cast("decimal(30,2)").alias("d"))
+    for found in (frames.running_sums(rows, ["k"], "t", "d", slice_rows=2, slices=3), frames.moving_sums(rows, ["k"], "t", "d", 9, slice_rows=2, slices=3)):
+        assert found.schema["total"].dataType.simpleString() == "decimal(38,2)"
+        assert found.groupBy("k").agg(F.max("total").alias("m")).join(rows.groupBy("k").agg(F.sum("d").alias("s")), "k").where("m = s").count() == 3
+
+
 def test_groupings_expand_counts_only(spark):
     """The cube multiplies counts, not rows, and tells null keys from left out ones."""
     frame = spark.range(10_000).select(
