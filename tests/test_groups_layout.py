@@ -138,6 +138,17 @@ def test_frames_leave_rows_of_equal_order_where_they_are(spark):
         assert sum(tasks) == 40_000 and max(tasks) <= 10_000
 
 
+def test_frames_merge_many_steps(spark, monkeypatch):
+    rows = numbered(4)
+    frame = spark.createDataFrame(rows, "i int, k string, t int, v int").repartition(3)
+    for run in (lambda: frames.running_sums(frame, ["k"], "t", "v", slice_rows=10, slices=4), lambda: frames.moving_sums(frame, ["k"], "t", "v", 3, count="n")):
+        with monkeypatch.context() as patch:
+            patch.setattr(frames, "fits_broadcast", lambda steps: False)
+            merged = run()
+        assert "SortMergeJoin" in plan_of(merged)
+        assert ordered(merged.collect()) == ordered(run().collect())
+
+
 def test_frames_keep_types_of_sums(spark):
     rows = spark.range(300).select((F.col("id") % 3).alias("k"), (F.col("id") % 7).alias("t"), (F.col("id") / 4).cast("decimal(30,2)").alias("d"))
     for found in (frames.running_sums(rows, ["k"], "t", "d", slice_rows=2, slices=3), frames.moving_sums(rows, ["k"], "t", "d", 9, slice_rows=2, slices=3)):
