@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures.time_queries import held_events, latest_orders
+from lakeops.operators import ranges as ranges_module
 from lakeops.operators.asof import as_of_join
 from lakeops.operators.ranges import range_join
 from lakeops.session import ROCKSDB
@@ -196,6 +197,40 @@ def test_range_join_deals_pairs_to_tasks(spark, max_rows):
     assert found.distinct().count() == 3000 * 400
 
 
+def test_range_join_leaves_out_ranges_beyond_all_points(spark):
+    """Ranges before the first and behind the last point are not measured, nor dealt; open and NaN bounds stay."""
+    odd = [(-1, None, 5.0), (-2, 5.0, None), (-3, -math.inf, 1.0), (-4, 1.0, math.inf), (-5, 0.0, math.nan), (-6, math.nan, 9.0), (-7, None, None)]
+    near = [(i, float(i), i + 1.5) for i in range(10)]
+    far = spark.range(20, 5000).selectExpr("cast(id AS int) AS r", "cast(id * 7 AS double) AS low", "id * 7 + 3.0D AS high")
+    far = far.unionAll(far.selectExpr("-r - 100", "-high", "-low"))
+    points = spark.createDataFrame([(i, i / 3) for i in range(30)] + [(90, None), (91, math.nan)], "id int, x double")
+    ranges = far.unionAll(spark.createDataFrame(odd + near, "r int, low double, high double"))
+    found = range_join(points, ranges, "x", ("low", "high"), columns=["r"], max_rows=200)
+    expected = [(i, r) for i in range(30) for r, low, high in odd + near
+                if (low is None or low <= i / 3) and (high is None or i / 3 < high or math.isnan(high))]
+    assert sorted((r.id, r.r) for r in found.collect()) == sorted(expected)
+    assert "BroadcastHashJoin" in plan_of(found)  # 9,977 ranges as given would be merged
+    ends = points.unionAll(spark.createDataFrame([(92, math.inf), (93, -math.inf)], points.schema))
+    merged = range_join(ends, ranges, "x", ("low", "high"), columns=["r"], max_rows=200)
+    more = [(92, -2), (92, -5), (92, -7), (93, -1), (93, -3), (93, -7)]  # NaN is beyond infinity
+    assert sorted((r.id, r.r) for r in merged.collect()) == sorted(expected + more)
+    assert range_join(points.where("id > 89"), ranges, "x", ("low", "high"), columns=["r"]).count() == 0
+
+
+@pytest.mark.parametrize("max_rows", [0, 10**6])
+def test_range_join_compares_few_pairs_in_vain(spark, max_rows, monkeypatch):
+    """Where many pairs meet, buckets get finer: less than twice the pairs of the result are dealt out."""
+    points = spark.range(0, 4000).selectExpr("id", "pmod(id * 7919, 4000) / 40.0D AS x")
+    ranges = spark.range(0, 600).selectExpr("id AS r", "pmod(id * 131, 600) / 6.0D AS low", "pmod(id * 131, 600) / 6.0D + 2 + id % 13 AS high")
+    dealt = []
+    counted = ranges_module._pairs
+    monkeypatch.setattr(ranges_module, "_pairs", lambda counts: dealt.append(counted(counts)[0]) or (dealt[-1], 1))
+    found = range_join(points, ranges, "x", ("low", "high"), columns=["r"], max_rows=max_rows, task_pairs=10_000, block_side=50).count()
+    expected = sum(low <= i / 40 < low + 2 + r % 13 for i in range(4000) for r in range(600) for low in [r * 131 % 600 / 6])
+    assert found == expected
+    assert dealt[-1] < 2 * found < dealt[0]
+
+
 # Streams.
 
 
