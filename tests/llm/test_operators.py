@@ -334,6 +334,41 @@ def test_menus_of_a_host_do_not_outweigh_marked_parts(spark):
         assert got[6].text == own[5:-6] and got[7].text == "all of 7"
 
 
+@pytest.mark.parametrize("shard_bytes", [150, 1 << 20])
+def test_every_page_goes_through_the_array_of_its_host(spark, monkeypatch, shard_bytes):
+    """Hosts whose pages all mark one article, and hosts of one page, are compared like the others."""
+
+    def counting(min_tokens):
+        """Before each text the number of tokens outside the main part that its array took; workers have their own module."""
+
+        def run(batches):
+            import pyarrow as pa
+
+            from lakeops.llm import pages as here
+
+            plain, seen = here.shared_places, []
+            here.shared_places = lambda symbols, *rest: seen.append(len(symbols)) or plain(symbols, *rest)
+            try:
+                for batch in here._settle(min_tokens)(batches):
+                    texts = [f"{seen[-1]}|{t}" for t in batch.column("text").to_pylist()]
+                    yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts)], ["page_id", "url", "text"])
+            finally:
+                here.shared_places = plain
+
+        return run
+
+    monkeypatch.setattr(pages, "_settle", counting)
+    menu = "<nav><a>one</a><a>two</a></nav>"
+    rows = [(i, f"http://many.example/{i}", f"{menu}<article>text of {i}</article><p>more {i}</p>") for i in range(6)]
+    rows += [(6, "http://one.example/a", f"{menu}<article>alone</article>"), (7, "http://two.example/a", f"<p>open {menu}</p>"), (8, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("|") for r in pages.extract_main_text(df, shard_bytes=shard_bytes).collect()}
+    assert [t for _, (_, t) in sorted(got.items())] == [f"text of {i}" for i in range(6)] + ["alone", "open", ""]
+    assert all(int(n) > 0 for i, (n, _) in got.items() if i < 8) and int(got[8][0]) == 0
+    if shard_bytes > 150:
+        assert {int(got[i][0]) for i in range(6)} == {6 * 12}  # tags and words of all six pages
+
+
 def test_page_attributes(spark):
     inner = (
         "<p>a <a href='/hidden-gems'>gem</a> <span title=\"the hidden cost\" data-id='search'>cost</span></p>"
